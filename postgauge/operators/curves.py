@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postgauge.config import NEGATIVE_LABEL, POSITIVE_LABEL
 from postgauge.operators.metrics import ALL, ranked_scores, score_counts
 
 BINS = 20
+CLASSES = ((0, NEGATIVE_LABEL), (1, POSITIVE_LABEL))
 
 
 def roc_curve(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -92,13 +94,12 @@ def score_histogram(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFra
 def prediction_counts(predictions: DataFrame) -> DataFrame:
     """Rows per predicted class; a class never predicted counts zero."""
     counts = predictions.agg(
-        F.count_if(F.col("y_pred") == 0).alias("no"), F.count_if(F.col("y_pred") == 1).alias("yes")
+        *(F.count_if(F.col("y_pred") == value).alias(label) for value, label in CLASSES)
     )
-    return counts.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(0).alias("y_pred"), F.lit("no").alias("label"), F.col("no").alias("count")),
-                F.struct(F.lit(1), F.lit("yes"), F.col("yes")),
-            )
+    rows = (
+        F.struct(
+            F.lit(value).alias("y_pred"), F.lit(label).alias("label"), F.col(label).alias("count")
         )
+        for value, label in CLASSES
     )
+    return counts.select(F.inline(F.array(*rows)))

@@ -88,31 +88,27 @@ def padded_words(text: Column) -> Column:
 
 
 def char_ngrams(padded: Column, min_n: int, max_n: int) -> Column:
-    """Character runs of one padded word."""
-    width = F.length(padded)
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(min_n), F.least(F.lit(max_n), width)),
-            lambda n: F.transform(
-                F.sequence(F.lit(1), width - n + 1), lambda i: F.substring(padded, i, n)
-            ),
-        )
-    )
-
+    """Character runs that stay inside one padded word.
 
-def all_char_ngrams(padded: Column, spec: FeatureSpec) -> Column:
-    return F.flatten(F.transform(padded, lambda w: char_ngrams(w, spec.min_n, spec.max_n)))
+    Works on one padded word or on a whole padded text: only the outer characters of a
+    run may be spaces. The look-ahead finds overlapping runs; a run never starts in the
+    middle of a surrogate pair.
+    """
+    first = r"[^\x{dc00}-\x{dfff}]"
+    found = (
+        F.regexp_extract_all(padded, F.lit(rf"(?s)(?=({first}[^ ]{{{n - 2}}}.))"), F.lit(1))
+        for n in range(min_n, max_n + 1)
+    )
+    return F.concat(*found)
 
 
 def terms(text: Column, spec: FeatureSpec) -> Column:
     """Every term occurrence of a normalised text, as an array."""
     if spec.analyzer == "word":
         return word_ngrams(words(text), spec.min_n, spec.max_n)
-    return all_char_ngrams(padded_words(text), spec)
+    return char_ngrams(F.concat(F.lit(" "), text, F.lit(" ")), spec.min_n, spec.max_n)
 
 
 def distinct_terms(text: Column, spec: FeatureSpec) -> Column:
     """The terms of a text without repetition, found inside the row."""
-    if spec.analyzer == "word":
-        return F.array_distinct(terms(text, spec))
-    return F.array_distinct(all_char_ngrams(F.array_distinct(padded_words(text)), spec))
+    return F.array_distinct(terms(text, spec))

@@ -44,11 +44,11 @@ def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _unpack(row) -> tuple[np.ndarray, ...]:
-    starts = np.frombuffer(row[0], np.int64)
+def _unpack(block: tuple[bytes, ...]) -> tuple[np.ndarray, ...]:
+    starts = np.frombuffer(block[0], np.int64)
     rows = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    idx = np.frombuffer(row[1], np.int32)
-    val, y, weight = (np.frombuffer(b, np.float64) for b in row[2:])
+    idx = np.frombuffer(block[1], np.int32)
+    val, y, weight = (np.frombuffer(b, np.float64) for b in block[2:])
     return rows, idx, val, y, weight
 
 
@@ -70,7 +70,7 @@ LOSSES = {"squared_hinge": squared_hinge, "logistic": logistic}
 def _loss_and_gradient(blocks, solution: np.ndarray, loss: str) -> Iterator[np.ndarray]:
     """Loss followed by the gradient, summed over the blocks of one partition."""
     total = np.zeros(len(solution) + 1)
-    for rows, idx, val, y, weight in blocks:
+    for rows, idx, val, y, weight in map(_unpack, blocks):
         margin = np.bincount(rows, val * solution[idx], len(y)) + solution[-1]
         value, slope = LOSSES[loss](y, margin)
         pull = weight * slope
@@ -132,7 +132,7 @@ def minimise(
     size = frame.select(length.alias("n")).first()["n"]
 
     context = frame.sparkSession.sparkContext
-    blocks = packed.rdd.map(_unpack)
+    blocks = packed.rdd.map(tuple)
     # Every iteration pays for each task, so tiny partitions are joined first.
     blocks = blocks.coalesce(max(1, min(blocks.getNumPartitions(), n_rows // ROWS_PER_TASK)))
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)

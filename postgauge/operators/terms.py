@@ -22,36 +22,44 @@ def term_occurrences(docs: DataFrame, spec: FeatureSpec, keys: Sequence[str]) ->
     )
 
 
-def _document_part(docs: DataFrame, spec: FeatureSpec, keys: Sequence[str]) -> DataFrame:
-    """One row per document and distinct term; repetition is removed inside the row."""
-    return docs.select(
-        *keys,
-        F.explode(X.distinct_terms(F.col(NORMALIZED), spec)).alias("term"),
-        F.lit(1).cast("bigint").alias("df"),
-        F.lit(0).cast("bigint").alias("tf"),
-    )
+def _partial_counts(docs: DataFrame, spec: FeatureSpec, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``(term, df, tf)`` to be added up; repetition is found inside the row, so
+    no document is ever regrouped.
 
+    Words are read once and unfolded together. Character n-grams of the corpus are cut
+    from counted words, because the same words return in every text.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def part(term: Column, df: Column, tf: Column) -> Column:
+        return F.struct(term.alias("term"), df.alias("df"), tf.alias("tf"))
 
-def _corpus_part(docs: DataFrame, spec: FeatureSpec, keys: Sequence[str]) -> DataFrame:
-    """Occurrence counts; character n-grams are cut from counted words, not from every text."""
     if spec.analyzer == "word":
-        found = F.explode(X.terms(F.col(NORMALIZED), spec)).alias("term")
-        counted = docs.select(*keys, found).groupBy(*keys, "term").agg(
-            F.count(F.lit(1)).alias("tf")
+        found = docs.select(*keys, X.terms(F.col(NORMALIZED), spec).alias("_terms"))
+        both = F.concat(
+            F.transform(F.array_distinct("_terms"), lambda term: part(term, one, none)),
+            F.transform("_terms", lambda term: part(term, none, one)),
         )
-    else:
-        found = F.explode(X.padded_words(F.col(NORMALIZED))).alias("word")
-        counted = (
-            docs.select(*keys, found)
-            .groupBy(*keys, "word")
-            .agg(F.count(F.lit(1)).alias("tf"))
-            .select(
-                *keys,
-                F.explode(X.char_ngrams(F.col("word"), spec.min_n, spec.max_n)).alias("term"),
-                "tf",
-            )
+        return found.select(*keys, F.inline(both))
+
+    documents = docs.select(
+        *keys,
+        F.explode(X.distinct_terms(F.col(NORMALIZED), spec)).alias("term"),
+        one.alias("df"),
+        none.alias("tf"),
+    )
+    words = docs.select(*keys, F.explode(X.padded_words(F.col(NORMALIZED))).alias("word"))
+    corpus = (
+        words.groupBy(*keys, "word")
+        .agg(F.count(F.lit(1)).alias("tf"))
+        .select(
+            *keys,
+            F.explode(X.char_ngrams(F.col("word"), spec.min_n, spec.max_n)).alias("term"),
+            none.alias("df"),
+            "tf",
         )
-    return counted.select(*keys, "term", F.lit(0).cast("bigint").alias("df"), "tf")
+    )
+    return documents.unionByName(corpus)
 
 
 def term_statistics(docs: DataFrame, spec: FeatureSpec, folds: int = 0) -> DataFrame:
@@ -62,7 +70,7 @@ def term_statistics(docs: DataFrame, spec: FeatureSpec, folds: int = 0) -> DataF
     are a subtraction. One shuffle on the term carries partial sums only.
     """
     keys = ["fold"] if folds else []
-    parts = _document_part(docs, spec, keys).unionByName(_corpus_part(docs, spec, keys))
+    parts = _partial_counts(docs, spec, keys)
     sums: list[Column] = [F.sum("df").alias("df"), F.sum("tf").alias("tf")]
     for fold in range(1, folds + 1):
         inside = F.col("fold") == fold

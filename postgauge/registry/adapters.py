@@ -23,13 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as posts; label text for those with a label."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+def raw_posts(spark: SparkSession, sf_dir: str, labelled: bool | None = None) -> DataFrame:
+    """Documents as posts; label text for those with a label.
+
+    ``labelled`` keeps only posts with or only posts without a label.
+    """
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    kind = {None: "left", True: "inner", False: "left_anti"}[labelled]
+    joined = documents.join(labels, "doc_id", kind)
+    if labelled is False:
+        joined = joined.withColumn("quality", F.lit(None).cast("int"))
     text = F.coalesce("text", F.lit(""))
     newline = F.instr(text, "\n")
-    return documents.join(labels, "doc_id", "left").select(
+    return spread(joined, "doc_id", documents).select(
         F.col("doc_id").cast("string").alias(TEXT_ID),
         F.concat_ws("_", "source", (F.col("doc_id") % 7).cast("string")).alias(USER),
         F.when(newline > 0, F.substring_index(text, "\n", 1)).otherwise(text).alias("title"),
@@ -38,19 +45,19 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All posts with ``normalized``; ``y`` is null without a label."""
-    return normalized(prepare_posts(raw_posts(spark, sf_dir), check=False))
+def posts(spark: SparkSession, sf_dir: str, labelled: bool | None = None) -> DataFrame:
+    """Posts with ``normalized``; ``y`` is null without a label."""
+    return normalized(prepare_posts(raw_posts(spark, sf_dir, labelled), check=False))
 
 
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled posts."""
-    return posts(spark, sf_dir).where(F.col(TARGET).isNotNull())
+    return posts(spark, sf_dir, True)
 
 
 def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts to predict, without label columns."""
-    return posts(spark, sf_dir).where(F.col(TARGET).isNull()).drop(TARGET, LABEL)
+    return posts(spark, sf_dir, False).drop(TARGET, LABEL)
 
 
 def order_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

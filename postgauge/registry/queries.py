@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from postgauge.config import (
     FEATURES,
-    LABEL,
     TARGET,
     TEXT,
     TEXT_ID,
@@ -204,11 +203,10 @@ def fewshot_sample(spark, sf_dir):
 
 
 def test_fold_diagnostics(spark, sf_dir):
-    raw = A.raw_posts(spark, sf_dir)
-    test = raw.where(F.col(LABEL).isNull()).withColumns(
+    test = A.raw_posts(spark, sf_dir, False).withColumns(
         {c: F.when(F.col(c) != "", F.col(c)) for c in (TITLE, TEXT)}
     )
-    train = raw.where(F.col(LABEL).isNotNull())
+    train = A.raw_posts(spark, sf_dir, True)
     return splitting.test_fold_diagnosis(train, test, labels_present=False)
 
 

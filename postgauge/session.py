@@ -53,13 +53,14 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def spread(frame: DataFrame, key: str) -> DataFrame:
+def spread(frame: DataFrame, key: str, source: DataFrame | None = None) -> DataFrame:
     """Give a small input that arrives in few row groups one partition per core.
 
-    Inputs above the size limit already split into enough partitions and stay as
-    they are, so no large table is ever shuffled here.
+    ``source`` is the table whose size decides, where ``frame`` already joins it to
+    others. Inputs above the size limit split into enough partitions by themselves and
+    stay as they are, so no large table is ever shuffled here.
     """
-    size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) > SMALL_INPUT_BYTES:
+    plan = (frame if source is None else source)._jdf.queryExecution().optimizedPlan()
+    if int(str(plan.stats().sizeInBytes())) > SMALL_INPUT_BYTES:
         return frame
     return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, key)

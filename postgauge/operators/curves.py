@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.config import NEGATIVE_LABEL, POSITIVE_LABEL
-from postgauge.operators.metrics import ALL, ranked_scores, score_counts
+from postgauge.operators.metrics import ALL, join_groups, ranked_scores, score_counts
+from postgauge.session import settle
 
 BINS = 20
 CLASSES = ((0, NEGATIVE_LABEL), (1, POSITIVE_LABEL))
@@ -20,19 +21,15 @@ def roc_curve(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     counts = score_counts(predictions.withColumn(ALL, F.lit(1)), names)
     ranked = ranked_scores(counts, names)
     totals = counts.groupBy(*names).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    both = totals.where((F.col("p") > 0) & (F.col("n") > 0))
+    both = settle(totals.where((F.col("p") > 0) & (F.col("n") > 0)))
     first = (F.col("pos_above") == 0) & (F.col("neg_above") == 0)
     last = F.col("next_pos").isNull()
     turn = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
-    points = (
-        ranked.where(first | last | turn)
-        .join(both, names)
-        .select(
-            *keys,
-            F.col("score").alias("threshold"),
-            ((F.col("neg_above") + F.col("neg")) / F.col("n")).alias("fpr"),
-            ((F.col("pos_above") + F.col("pos")) / F.col("p")).alias("tpr"),
-        )
+    points = join_groups(ranked.where(first | last | turn), both, names).select(
+        *keys,
+        F.col("score").alias("threshold"),
+        ((F.col("neg_above") + F.col("neg")) / F.col("n")).alias("fpr"),
+        ((F.col("pos_above") + F.col("pos")) / F.col("p")).alias("tpr"),
     )
     origin = both.select(
         *keys,
@@ -53,10 +50,12 @@ def score_histogram(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFra
     scored = predictions.where(F.col("score").isNotNull()).withColumn(ALL, F.lit(1))
     ranges = scored.groupBy(*names).agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
     flat = F.col("lo") == F.col("hi")
-    ranges = ranges.select(
-        *names,
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    ranges = settle(
+        ranges.select(
+            *names,
+            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        )
     )
     width = F.col("hi") - F.col("lo")
     step = width / BINS
@@ -66,7 +65,7 @@ def score_histogram(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFra
     low_edge = F.col("lo") + F.col("guess") * step
     high_edge = F.col("lo") + (F.col("guess") + 1) * step
     placed = (
-        scored.join(ranges, names)
+        join_groups(scored, ranges, names)
         .withColumn("guess", guess)
         .withColumn(
             "bin",

@@ -67,17 +67,17 @@ def logistic(y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 LOSSES = {"squared_hinge": squared_hinge, "logistic": logistic}
 
 
-def _loss_and_gradient(blocks, solution: np.ndarray, loss: str) -> Iterator[np.ndarray]:
-    """Loss followed by the gradient, summed over the blocks of one partition."""
+def _loss_and_gradient(blocks, solution: np.ndarray, loss: str) -> np.ndarray:
+    """Loss followed by the gradient, summed over unpacked blocks."""
     total = np.zeros(len(solution) + 1)
-    for rows, idx, val, y, weight in map(_unpack, blocks):
+    for rows, idx, val, y, weight in blocks:
         margin = np.bincount(rows, val * solution[idx], len(y)) + solution[-1]
         value, slope = LOSSES[loss](y, margin)
         pull = weight * slope
         total[0] += float(weight @ value)
         total[1:-1] += np.bincount(idx, val * pull[rows], len(solution) - 1)
         total[-1] += pull.sum()
-    yield total
+    return total
 
 
 def _direction(gradient: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -112,7 +112,7 @@ def minimise(
 ) -> np.ndarray:
     """Weights followed by the intercept.
 
-    Minimises ``penalty/2`` times the squared norm plus ``factor`` times the weighted
+    ``n_rows`` is the counted number of rows. Minimises ``penalty/2`` times the squared norm plus ``factor`` times the weighted
     loss, until no gradient entry exceeds ``tol`` times the largest first one.
     """
     inner = F.unwrap_udt(F.col(vector))
@@ -131,28 +131,52 @@ def minimise(
     length = F.when(sparse, inner.getField("size")).otherwise(F.size(values))
     size = frame.select(length.alias("n")).first()["n"]
 
-    context = frame.sparkSession.sparkContext
+    shrink = np.full(size + 1, penalty)
+    if not penalise_intercept:
+        shrink[-1] = 0.0
+
+    def objective(total: np.ndarray, solution: np.ndarray) -> tuple[float, np.ndarray]:
+        value = 0.5 * float(shrink @ (solution * solution)) + factor * float(total[0])
+        return value, shrink * solution + factor * total[1:]
+
     blocks = packed.rdd.map(tuple)
+    if n_rows <= ROWS_PER_TASK:
+        # The counted rows fit one task, so the iterations need no job each.
+        def solve(part) -> Iterator[np.ndarray]:
+            local = [_unpack(block) for block in part]
+            yield _quasi_newton(
+                lambda x: objective(_loss_and_gradient(local, x, loss), x),
+                np.zeros(size + 1),
+                max_iter,
+                tol,
+            )
+
+        return blocks.coalesce(1).mapPartitions(solve).first()
+
     # Every iteration pays for each task, so tiny partitions are joined first.
     blocks = blocks.coalesce(max(1, min(blocks.getNumPartitions(), n_rows // ROWS_PER_TASK)))
-    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    return _solve_distributed(blocks, objective, loss, size, max_iter, tol)
+
+
+def _solve_distributed(blocks, objective, loss: str, size: int, max_iter: int, tol: float) -> np.ndarray:
+    """One pass over the cached blocks per evaluation."""
+    context = blocks.context
     flat = blocks.getNumPartitions() <= FLAT_REDUCE_PARTITIONS
-    shrink = np.full(size + 1, penalty)
-    if not penalise_intercept:
-        shrink[-1] = 0.0
+    cached = blocks.persist(StorageLevel.MEMORY_AND_DISK)
 
     def evaluate(solution: np.ndarray) -> tuple[float, np.ndarray]:
         shared = context.broadcast(solution)
-        parts = blocks.mapPartitions(lambda part: _loss_and_gradient(part, shared.value, loss))
+        parts = cached.mapPartitions(
+            lambda part: [_loss_and_gradient(map(_unpack, part), shared.value, loss)]
+        )
         total = parts.reduce(np.add) if flat else parts.treeReduce(np.add)
         shared.unpersist()
-        value = 0.5 * float(shrink @ (solution * solution)) + factor * float(total[0])
-        return value, shrink * solution + factor * total[1:]
+        return objective(total, solution)
 
     try:
         return _quasi_newton(evaluate, np.zeros(size + 1), max_iter, tol)
     finally:
-        blocks.unpersist()
+        cached.unpersist()
 
 
 def _quasi_newton(evaluate, solution: np.ndarray, max_iter: int, tol: float) -> np.ndarray:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postgauge.session import settle
+
 COUNTS = ("true_negative", "false_positive", "false_negative", "true_positive")
 # Metric names in result order.
 METRICS = (
@@ -22,6 +24,17 @@ ONE_WINDOW_ROWS = 1_000_000
 ROWS_PER_BAND = 500_000
 BAND_BITS = 10
 ALL = "_all"
+FEW_GROUPS = 10_000
+
+
+def join_groups(frame: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner"):
+    """Join rows to a stored table with one row per group.
+
+    Few groups mean long groups, so up to a counted limit that table is broadcast and
+    the rows stay where they are; many groups join on their keys.
+    """
+    small = F.broadcast(groups) if groups.count() <= FEW_GROUPS else groups
+    return frame.join(small, list(keys), how)
 
 
 def confusion_counts(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -178,5 +191,7 @@ def gated_metrics(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
     errors = predictions.groupBy(*keys).agg(
         F.count_if(F.col("error").isNotNull()).alias("error_count")
     )
-    clean = predictions.join(errors.where("error_count = 0").select(*keys), list(keys), "left_semi")
+    errors = settle(errors)
+    passed = errors.where("error_count = 0").select(*keys)
+    clean = join_groups(predictions, passed, keys, "left_semi")
     return errors.join(evaluate(clean, keys), list(keys), "left")

@@ -25,7 +25,7 @@ from postgauge.operators.terms import NORMALIZED
 from postgauge.session import settle
 
 PREFIX = 3
-MAX_SIGNATURES = 100_000
+MAX_SIGNATURES = 20_000
 HOT_SHARE = 2_000
 
 

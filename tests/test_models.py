@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postgauge.config import CLASSIFIERS, FeatureSpec, Settings, grid_pairs
+from postgauge.operators import linear_solver
 from postgauge.operators.classifiers import fit_classifier
 from postgauge.operators.terms import most_frequent, term_statistics
 from postgauge.operators.tfidf import entries, fit_tfidf
@@ -105,8 +106,11 @@ def objective_gradient(name, x, y, w, b):
     return np.append(1e-4 * w + x.T @ pull / len(y), pull.sum() / len(y))
 
 
+@pytest.mark.parametrize("rows_per_task", [20_000, 1])
 @pytest.mark.parametrize("name", ["logistic_regression", "linear_svm", "sgd_logistic"])
-def test_iterative_fits_are_optimal(spark, docs, name):
+def test_iterative_fits_are_optimal(spark, docs, name, rows_per_task, monkeypatch):
+    """In one task and over distributed blocks."""
+    monkeypatch.setattr(linear_solver, "ROWS_PER_TASK", rows_per_task)
     uneven = docs.where("text_id <> 'f'").unionByName(docs.where("text_id = 'a'"))
     model = fit_tfidf(docs, SPEC)
     fit = fit_classifier(model.transform(uneven), "tfidf", Settings(classifier=name))

@@ -99,17 +99,16 @@ def classify(
 ) -> DataFrame:
     """Ask for an answer per post and ask again, up to ``max_attempts``, while it is invalid.
 
-    Expects the ``normalized`` column. Each round is stored before it is judged, so
-    later steps never call the provider again.
+    Expects the ``normalized`` column. Each round is judged and stored in one job, so
+    later steps never call the provider again; only failed rows keep their prompt.
     """
     fields = [
         T.StructField(TEXT_ID, T.StringType()),
         T.StructField(USER, T.StringType()),
         *([T.StructField("y_true", T.IntegerType())] if TARGET in posts.columns else []),
     ]
-    asked = T.StructType(
-        [*fields, T.StructField("raw_response", T.StringType()), T.StructField("failure", T.StringType())]
-    )
+    sent = ("_sent", "raw_response", "failure")
+    asked = T.StructType([*fields, *(T.StructField(name, T.StringType()) for name in sent)])
     columns = [field.name for field in fields]
     pending = posts.select(
         F.col(TEXT_ID).cast("string").alias(TEXT_ID),
@@ -119,12 +118,14 @@ def classify(
     )
     done = []
     for attempt in range(1, max_attempts + 1):
-        raw = settle(pending.select("*", F.col("prompt").alias("_sent")).mapInPandas(
-            _ask(provider, model),
-            T.StructType([*fields, T.StructField("_sent", T.StringType()), *asked.fields[-2:]]),
-        ))
-        judged = validate(raw).withColumns(
-            {"error": F.coalesce("failure", "error"), "attempts": F.lit(attempt)}
+        raw = pending.select("*", F.col("prompt").alias("_sent")).mapInPandas(
+            _ask(provider, model), asked
+        )
+        error = F.coalesce("failure", "error")
+        judged = settle(
+            validate(raw)
+            .withColumns({"error": error, "attempts": F.lit(attempt)})
+            .withColumn("_sent", F.when(F.col("error").isNotNull(), F.col("_sent")))
         )
         if attempt == max_attempts:
             done.append(judged)

@@ -205,10 +205,12 @@ def assign_folds(posts: DataFrame, n_folds: int = 5, seed: int = 42) -> DataFram
     leftover = F.get(F.col("rest"), rank.cast("int"))
     start = F.when(F.col("rest").isNull(), F.xxhash64("neg", "pos")).otherwise(-F.size("rest"))
     even = F.pmod(rank + F.pmod(start, F.lit(n_folds)), F.lit(n_folds)) + 1
-    return placed.select(
-        USER,
-        (F.col("neg") + F.col("pos")).alias("n"),
-        F.coalesce(leftover, even).cast("int").alias("fold"),
+    return settle(
+        placed.select(
+            USER,
+            (F.col("neg") + F.col("pos")).alias("n"),
+            F.coalesce(leftover, even).cast("int").alias("fold"),
+        )
     )
 
 
@@ -222,9 +224,11 @@ def tag_folds(posts: DataFrame, assignment: DataFrame) -> DataFrame:
     total = assignment.agg(F.sum("n").alias("n")).first()["n"]
     hot = F.col("n") > total / HOT_SHARE
     heavy = assignment.where(hot).select(USER, F.col("fold").alias("_heavy"))
-    light = assignment.where(~hot).select(F.col(USER).alias("_light_user"), F.col("fold").alias("_light"))
+    light = assignment.where(~hot).select(
+        F.col(USER).cast("string").alias("_light_user"), F.col("fold").alias("_light")
+    )
     looked = posts.join(F.broadcast(heavy), USER, "left")
-    key = F.when(F.col("_heavy").isNull(), F.col(USER)).otherwise(
+    key = F.when(F.col("_heavy").isNull(), F.col(USER).cast("string")).otherwise(
         F.concat(F.lit("\u0000"), F.col(TEXT_ID).cast("string"))
     )
     joined = looked.withColumn("_key", key).join(light, F.col("_key") == F.col("_light_user"), "left")

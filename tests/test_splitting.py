@@ -62,12 +62,14 @@ def test_fold_limits(spark):
         S.assign_folds(frame, 2)
 
 
-def test_hot_user_is_looked_up(spark):
-    rows = [("hot", f"h{i}", i % 2) for i in range(3000)] + [(f"u{i}", f"t{i}", i % 2) for i in range(3000)]
-    frame = spark.createDataFrame(rows, "user_id string, text_id string, y int")
-    tagged = S.tag_folds(frame, S.assign_folds(frame, 3))
-    assert tagged.count() == 6000
-    assert tagged.where("user_id = 'hot'").select("fold").distinct().count() == 1
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_hot_user_is_looked_up(spark, kind):
+    rows = [(0, f"h{i}", i % 2) for i in range(3000)] + [(i + 1, f"t{i}", i % 2) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "user_id bigint, text_id string, y int")
+    frame = frame.withColumn("user_id", F.col("user_id").cast(kind))
+    tagged = S.tag_folds(frame, S.assign_folds(frame, 3)).cache()
+    assert tagged.count() == 6000 and tagged.where("fold is null").count() == 0
+    assert tagged.where("user_id = 0").select("fold").distinct().count() == 1
 
 
 def test_few_shot(spark, posts):

@@ -80,12 +80,9 @@ def term_statistics(docs: DataFrame, spec: FeatureSpec, folds: int = 0) -> DataF
     return parts.groupBy("term").agg(*sums)
 
 
-def kept_terms(stats: DataFrame, spec: FeatureSpec, n_docs: int | Column) -> DataFrame:
+def kept_terms(stats: DataFrame, spec: FeatureSpec, n_docs: int) -> DataFrame:
     """Terms inside the document-frequency limits."""
-    upper = n_docs * F.lit(spec.max_df) if isinstance(n_docs, Column) else F.lit(
-        spec.max_df * n_docs
-    )
-    return stats.where((F.col("df") >= spec.min_df) & (F.col("df") <= upper))
+    return stats.where((F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * n_docs))
 
 
 def count_band(tf: Column) -> Column:
@@ -115,12 +112,6 @@ def most_frequent(kept: DataFrame, limit: int) -> DataFrame:
     return top.orderBy(F.desc("tf"), "term").limit(limit)
 
 
-def inverse_frequency(df: Column, n_docs: int | Column) -> Column:
-    """Smoothed inverse document frequency."""
-    n = n_docs.cast("double") if isinstance(n_docs, Column) else F.lit(float(n_docs))
-    return F.log((n + 1.0) / (df + 1.0)) + 1.0
-
-
 def check_limits(spec: FeatureSpec, n_docs: int) -> None:
     if n_docs * spec.max_df < spec.min_df:
         raise ValueError("max_df allows fewer documents than min_df requires")

@@ -198,10 +198,3 @@ def embedding_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "embedding",
         (F.col("label") >= 5).cast("int").alias(TARGET),
     )
-
-
-def everything():
-    """A window over all rows, for tables of at most a few rows."""
-    from pyspark.sql import Window
-
-    return Window.partitionBy()

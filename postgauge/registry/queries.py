@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postgauge.config import (
@@ -109,7 +109,7 @@ def binary_flags(spark, sf_dir):
 
 def label_distribution(spark, sf_dir):
     labelled = A.pool(spark, sf_dir).groupBy(TARGET).agg(F.count(F.lit(1)).alias("rows"))
-    total = F.sum("rows").over(A.everything())
+    total = F.sum("rows").over(Window.partitionBy())
     return rounded(labelled.withColumn("share", F.col("rows") / total), "share")
 
 

@@ -160,15 +160,19 @@ def first_rejection(rules: Sequence[Rule]) -> Column:
 def keep_clean(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The documents no rule rejects, with their own columns.
 
-    One filter after the other: what a rule needs is computed only for documents that
-    passed the rules before it.
+    Rules are tried in turn: once a rule rejects a document its text and words become null,
+    so nothing further is computed for it. The rejected rows leave at the end through
+    ``inline``; a filter would be pushed below the measures and repeat them.
     """
-    frame = _bodies(docs, text, row=F.struct("*"))
+    frame = _bodies(docs, text, row=F.struct("*")).withColumn("alive", F.lit(True))
     for rule in order_rules(docs, rules, text):
         for name in rule.needs:
             frame = with_measure(frame, name)
-        frame = frame.filter(~F.coalesce(F.expr(rule.rejects), F.lit(False)))
-    return frame.select("row.*")
+        rejected = F.coalesce(F.expr(rule.rejects), F.lit(False))
+        frame = frame.withColumn("alive", F.col("alive") & ~rejected)
+        for name in {"body", "words", "lines"} & set(frame.columns):
+            frame = frame.withColumn(name, F.when(F.col("alive"), F.col(name)))
+    return frame.select(F.inline(F.when(F.col("alive"), F.array("row"))))
 
 
 def judge(

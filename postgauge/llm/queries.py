@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, quality, shards
+from postgauge.llm import bpe, neardup, quality, shards
 from postgauge.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op3_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2).drop("set_key")
+
+
 def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), shards=8, law="bytes")
     return placed.select(
@@ -32,6 +36,7 @@ def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bottom_k": op3_bottom_k,
     "op7_sampled_splitters": op7_sampled_splitters,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_rule_cascade": op10_rule_cascade,
@@ -60,4 +65,28 @@ SELECT *, NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30
 FROM b
 """
 
-ORACLES = {"op10_rule_cascade": _OP10}
+_OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, ws[i] || ' ' || ws[i + 1] AS k FROM w, unnest(range(1, len(ws))) r(i)
+  UNION ALL SELECT doc_id, ws[1] FROM w WHERE len(ws) = 1),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+      FROM s x JOIN s y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+"""
+
+ORACLES = {
+    "op3_bottom_k": _OP3,
+    "op10_rule_cascade": _OP10,
+}

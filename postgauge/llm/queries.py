@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, neardup, quality, shards
+from postgauge.llm import bpe, leaks, neardup, quality, shards
 from postgauge.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -16,6 +16,10 @@ def op3_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2).drop("set_key")
 
 
+def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), shards=8, law="bytes")
     return placed.select(
@@ -37,6 +41,7 @@ def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_bottom_k": op3_bottom_k,
+    "op5_suffix_arrays": op5_suffix_arrays,
     "op7_sampled_splitters": op7_sampled_splitters,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_rule_cascade": op10_rule_cascade,
@@ -86,7 +91,35 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
 """
 
+_OP5 = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+bw AS (
+  SELECT item_id, ws, least(10, len(ws)) AS size FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark)
+  WHERE len(ws) > 0),
+win AS (
+  SELECT DISTINCT item_id, size, array_to_string(ws[i:i + size - 1], ' ') AS k
+  FROM bw, unnest(range(1, len(ws) - size + 2)) r(i)),
+dwin AS (
+  SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS k
+  FROM dw, (SELECT DISTINCT size FROM win), unnest(range(1, len(ws) - size + 2)) r(i)),
+hit AS (SELECT doc_id, item_id, i, win.size FROM dwin JOIN win USING (k)),
+cov AS (
+  SELECT doc_id, count(DISTINCT i + o) AS n FROM hit, unnest(range(0, size)) r(o) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit,
+  coalesce(its.n, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(cov.n, 0) > 0 AS contaminated
+FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
 ORACLES = {
+    "op5_suffix_arrays": _OP5,
     "op3_bottom_k": _OP3,
     "op10_rule_cascade": _OP10,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, leaks, neardup, quality, shards
+from postgauge.llm import bpe, leaks, neardup, quality, shards, warc
 from postgauge.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +20,10 @@ def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign_shards(table(spark, sf_dir, "documents"), shards=8, law="bytes")
     return placed.select(
@@ -42,6 +46,7 @@ def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_bottom_k": op3_bottom_k,
     "op5_suffix_arrays": op5_suffix_arrays,
+    "op6_indexed_warc": op6_indexed_warc,
     "op7_sampled_splitters": op7_sampled_splitters,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_rule_cascade": op10_rule_cascade,
@@ -118,7 +123,19 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit,
 FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+_OP6 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM f
+"""
+
 ORACLES = {
+    "op6_indexed_warc": _OP6,
     "op5_suffix_arrays": _OP5,
     "op3_bottom_k": _OP3,
     "op10_rule_cascade": _OP10,

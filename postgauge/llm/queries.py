@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, leaks, neardup, quality, shards, warc
+from postgauge.llm import bpe, html_text, leaks, neardup, quality, shards, warc
 from postgauge.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -39,6 +39,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_crf_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op6_indexed_warc": op6_indexed_warc,
     "op7_sampled_splitters": op7_sampled_splitters,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_crf_blocks": op9_crf_blocks,
     "op10_rule_cascade": op10_rule_cascade,
 }
 

@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, html_text, leaks, neardup, quality, shards, warc
+from postgauge.llm import bpe, html_text, leaks, neardup, quality, shards, toxicity, warc
 from postgauge.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2).drop("set_key")
 
@@ -48,6 +52,7 @@ def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_kneser_ney": op2_kneser_ney,
     "op3_bottom_k": op3_bottom_k,
     "op5_suffix_arrays": op5_suffix_arrays,
     "op6_indexed_warc": op6_indexed_warc,

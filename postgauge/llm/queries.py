@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, html_text, leaks, neardup, quality, shards, toxicity, warc
+from postgauge.llm import bpe, html_text, leaks, neardup, order, quality, shards, toxicity, warc
 from postgauge.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.training_order(table(spark, sf_dir, "documents"))
+
+
 def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_training_order": op1_training_order,
     "op2_kneser_ney": op2_kneser_ney,
     "op3_bottom_k": op3_bottom_k,
     "op5_suffix_arrays": op5_suffix_arrays,

@@ -205,6 +205,34 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     )
 
 
+def token_ids(
+    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Per document: doc_id, n_tokens, ids, and whether the ids decode to the text's bytes."""
+    description = docs.sparkSession.sparkContext.broadcast(tokenizer_json(read_ranks(path)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(description, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                texts = part.column(1).to_pylist()
+                ids = list(codec.encode_many(texts))
+                same = [codec.decode(i) == (t or "").encode() for i, t in zip(ids, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(map(len, ids), pa.int64()),
+                        pa.array(ids, pa.list_(pa.int32())),
+                        pa.array(same),
+                    ],
+                    names=["doc_id", "n_tokens", "ids", "decodes"],
+                )
+
+    frame = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return frame.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decodes boolean")
+
+
 def digests(
     docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:

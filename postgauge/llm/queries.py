@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, html_text, leaks, neardup, order, quality, shards, toxicity, warc
+from postgauge.llm import bpe, html_text, leaks, neardup, order, quality, secret_scan, shards, toxicity, warc
 from postgauge.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -24,6 +24,10 @@ def op3_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2).drop("set_key")
 
 
+def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op1_training_order": op1_training_order,
     "op2_kneser_ney": op2_kneser_ney,
     "op3_bottom_k": op3_bottom_k,
+    "op4_secret_forest": op4_secret_forest,
     "op5_suffix_arrays": op5_suffix_arrays,
     "op6_indexed_warc": op6_indexed_warc,
     "op7_sampled_splitters": op7_sampled_splitters,

@@ -187,9 +187,9 @@ def judge(
     for name in measures:
         frame = with_measure(frame, name)
     base = [rule for rule in rules if rule.name in BASE]
-    return frame.select(
-        "doc_id",
-        *measures,
+    verdicts = (
         first_rejection(base).isNotNull().alias("base_failed"),
         first_rejection(order_rules(docs, rules, text)).isNull().alias("kept"),
     )
+    # As in keep_clean: what a caller filters must not be pushed below the measures.
+    return frame.select(F.inline(F.array(F.struct("doc_id", *measures, *verdicts))))

@@ -2,23 +2,79 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task; a longer single text is handled alone.
 SLICE_BYTES = 1 << 20
 
-_MASK = (1 << 64) - 1
+#: Bits of the bitmap that a large table is reduced with before it is joined.
+BITMAP_BITS = 1 << 22
+_BUCKET_BYTES = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def maybe_among(keys: DataFrame) -> Callable[[Column], Column]:
+    """A test whether a number may be among those of ``keys`` (one long column).
+
+    The numbers are hashed into a bitmap of fixed size, built by a combinable aggregate and
+    sent to the tasks. The test has no false negatives; with many more numbers than bits it
+    only lets more rows through. Null is never among them.
+    """
+
+    def spot(number: Column) -> Column:
+        return F.pmod(F.xxhash64(number.cast("long")), F.lit(BITMAP_BITS))
+
+    name = keys.columns[0]
+    found = (
+        keys.filter(F.col(name).isNotNull())
+        .select(spot(F.col(name)).alias("spot"))
+        .groupBy(F.bitmap_bucket_number("spot").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+        .collect()
+    )
+    bits = np.zeros(BITMAP_BITS // 8 + 2 * _BUCKET_BYTES, dtype=np.uint8)
+    for row in found:
+        start = row["bucket"] * _BUCKET_BYTES
+        bits[start : start + _BUCKET_BYTES] = np.frombuffer(row["bits"], np.uint8)
+    sent = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def held(bucket: pd.Series, position: pd.Series) -> pd.Series:
+        bit = position.to_numpy()
+        byte = sent.value[bucket.to_numpy() * _BUCKET_BYTES + bit // 8]
+        return pd.Series((byte >> (bit % 8).astype(np.uint8) & 1).astype(bool))
+
+    def test(number: Column) -> Column:
+        at = spot(number)
+        return number.isNotNull() & held(F.bitmap_bucket_number(at), F.bitmap_bit_position(at))
+
+    return test
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_column: str) -> DataFrame:
+    """The rows whose id is not in ``gone`` (one distinct long column); null ids stay.
+
+    Only rows the bitmap cannot clear are shuffled to be compared with the ids.
+    """
+    maybe = maybe_among(gone)(docs[id_column].cast("long"))
+    name = gone.columns[0]
+    doubtful = docs.filter(maybe)
+    sure = docs.filter(~maybe)
+    return sure.unionByName(
+        doubtful.join(gone, doubtful[id_column].cast("long") == gone[name], "left_anti")
+    )
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit over the result."""
     x = x.astype(np.uint64, copy=True)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postgauge.llm.common import ALNUM, Words, text_slices
+from postgauge.llm.common import ALNUM, Words, text_slices, without_ids
 from postgauge.session import settle
 
 #: Words of a window.
@@ -289,5 +289,5 @@ def without_leaks(
 ) -> DataFrame:
     """The documents without any window, with their own columns; rows without id stay."""
     found = find_leaks(docs, benchmark, id_column=id_column, **options)
-    hit = found.filter("size(spans) > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("hit_id"))
-    return docs.join(hit.distinct(), docs[id_column].cast("long") == F.col("hit_id"), "left_anti")
+    hit = found.filter("size(spans) > 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return without_ids(docs, settle(hit), id_column)

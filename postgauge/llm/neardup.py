@@ -12,9 +12,10 @@ shingles are matched by their four common values instead). For larger sets the c
 pair of similarity s shares no run among 64 values is below 1e-9 at s = 0.8.
 
 A list of up to ``LIST`` classes gives its pairs. A longer list, as of frequent words or of a
-passage many texts share, is split by longer runs, and each of its members is compared with
-the list's leader, so its cost is linear. Lists still long at the longest run are groups of
-near copies: members that the leader did not link into the list's main component are
+passage many texts share, is split by longer runs. A member whose longer run nobody shares,
+or that has none, is compared with the leader of the last long list it was in, so the cost of
+long lists is linear. Lists still long at the longest run are groups of near copies, and all
+their members are compared with the leader: members that the leader did not link into the list's main component are
 compared with all members outside their own. Overlap of the union sketch (its share of
 common values, 0.5 or more) filters candidates; links are confirmed on full sets.
 
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postgauge.llm.common import SPACED, Words, mix64, text_slices
+from postgauge.llm.common import SPACED, Words, maybe_among, mix64, text_slices, without_ids
 from postgauge.session import settle
 
 #: Values kept per sketch.
@@ -154,6 +155,29 @@ def _small_pairs(classes: DataFrame) -> DataFrame:
     return four.join(five, "key").select(*_ordered(F.col("x"), F.col("y")))
 
 
+def _led(rows: DataFrame) -> DataFrame:
+    """Rows of a long list with its leader."""
+    return rows.filter((F.col("node") != F.col("leader")) & _alike(F.col("n"), F.col("m"))).select(
+        *_ordered(F.col("node"), F.col("leader"))
+    )
+
+
+def _pairs_of_lists(rows: DataFrame) -> DataFrame:
+    """All pairs of alike sizes in lists of bounded length."""
+    lists = rows.groupBy("key").agg(F.collect_list(F.struct("node", "n")).alias("members"))
+    pairs = F.transform(
+        "members",
+        lambda x, i: F.transform(
+            F.filter(
+                "members",
+                lambda y, j: (j > i) & (y["node"] != x["node"]) & _alike(x["n"], y["n"]),
+            ),
+            lambda y: F.struct(*_ordered(x["node"], y["node"])),
+        ),
+    )
+    return lists.select(F.inline(F.flatten(pairs)))
+
+
 def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of nodes to look at, and the rows (key, node, n) of lists that stay long."""
     pairs = [_small_pairs(classes)]
@@ -168,44 +192,33 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
             )
         ),
     )
+    leader = F.struct(F.xxhash64("node"), F.col("node").alias("leader"), F.col("n").alias("m"))
     for level, length in enumerate(RUNS):
         if level:
+            fits = F.col("at") + length <= F.least("n", F.lit(SKETCH))
+            pairs.append(_led(long_rows.filter(~fits)))
             rows = (
-                long_rows.select("node", "at")
-                .join(classes.select("node", "n", "sketch"), "node")
-                .filter(F.col("at") + length <= F.size("sketch"))
-                .select("node", "n", _run_key("sketch", F.col("at"), length).alias("key"), "at")
+                long_rows.filter(fits)
+                .select("node", "n", "at", "leader", "m")
+                .join(classes.select("node", "sketch"), "node")
+                .withColumn("key", _run_key("sketch", F.col("at"), length))
+                .drop("sketch")
             )
         counts = rows.groupBy("key").agg(F.count("*").alias("listed")).filter("listed > 1")
-        shared = settle(rows.join(counts, "key"))
-        short = (
-            shared.filter(F.col("listed") <= LIST)
-            .groupBy("key")
-            .agg(F.collect_list(F.struct("node", "n")).alias("members"))
-        )
-        both = F.flatten(
-            F.transform(
-                "members",
-                lambda x, i: F.transform(
-                    F.filter(
-                        "members",
-                        lambda y, j: (j > i) & (y["node"] != x["node"]) & _alike(x["n"], y["n"]),
-                    ),
-                    lambda y: F.struct(*_ordered(x["node"], y["node"])),
-                ),
-            )
-        )
-        pairs.append(short.select(F.inline(both)))
+        shared = settle(rows.join(counts, "key", "left" if level else "inner"))
+        if level:
+            pairs.append(_led(shared.filter("listed IS NULL")))
+            shared = shared.drop("leader", "m")
+        pairs.append(_pairs_of_lists(shared.filter(F.col("listed") <= LIST)))
         long_rows = shared.filter(F.col("listed") > LIST)
-        leaders = long_rows.groupBy("key").agg(
-            F.min(F.struct(F.xxhash64("node"), F.col("node").alias("leader"), F.col("n").alias("m"))).alias("l")
-        )
-        led = long_rows.join(leaders, "key").filter(
-            (F.col("node") != F.col("l.leader")) & _alike(F.col("n"), F.col("l.m"))
-        )
-        pairs.append(led.select(*_ordered(F.col("node"), F.col("l.leader"))))
         if long_rows.isEmpty():
             break
+        leaders = long_rows.groupBy("key").agg(F.min(leader).alias("least"))
+        long_rows = settle(
+            long_rows.join(leaders, "key").select("key", "node", "n", "at", "least.leader", "least.m")
+        )
+    else:
+        pairs.append(_led(long_rows))
     union = pairs[0]
     for more in pairs[1:]:
         union = union.union(more)
@@ -214,6 +227,8 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose union sketch has enough common values."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    classes = classes.filter(maybe_among(nodes)(F.col("node")))
     x = classes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
     y = classes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
@@ -246,7 +261,9 @@ def _full_sets(
             )
             yield out.filter(pa.array([v is not None for v in values], pa.bool_()))
 
+    named = settle(named)
     texts = _keyed(docs, id_column, text).drop("doc_id")
+    texts = texts.filter(maybe_among(named.select("row_key"))(F.col("row_key")))
     return (
         named.join(texts, "row_key")
         .groupBy("row_key", "node")
@@ -353,12 +370,12 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id())
     )
     candidates, long_rows = _candidates(classes)
-    likely = settle(_estimated(candidates, classes))
+    likely = settle(_estimated(settle(candidates), classes))
     sets = settle(_full_sets(likely, classes, docs, width, id_column, text))
     links = settle(_confirmed(likely, sets))
     roots = components(links)
     if not long_rows.isEmpty():
-        rest = settle(_estimated(_outside_pairs(long_rows, roots), classes))
+        rest = settle(_estimated(settle(_outside_pairs(long_rows, roots)), classes))
         if not rest.isEmpty():
             more = _confirmed(rest, _full_sets(rest, classes, docs, width, id_column, text))
             roots = components(links.union(more))
@@ -386,5 +403,5 @@ def one_per_group(
 ) -> DataFrame:
     """The documents that name their component, with their own columns; null ids stay."""
     found = near_duplicates(docs, width, id_column, text)
-    gone = found.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone.distinct(), docs[id_column].cast("long") == F.col("gone_id"), "left_anti")
+    gone = found.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return without_ids(docs, settle(gone), id_column)

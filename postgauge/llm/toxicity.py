@@ -36,16 +36,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postgauge.llm.common import ALNUM, Words, mix64, text_slices
+from postgauge.llm.common import ALNUM, Words, maybe_among, mix64, text_slices
 from postgauge.session import settle
 
 CODE_BITS, ORDER, LOW_ORDER = 6, 6, 3
-PAIR_BITS, FIVE_BITS, SHARD_BITS, ID_BITS = 21, 19, 8, 22
+PAIR_BITS, FIVE_BITS, SHARD_BITS = 21, 19, 8
 #: Cells of hashed sixes and fives, and ranges of fives that counts are merged in.
 PAIRS, FIVES, SHARDS = 1 << PAIR_BITS, 1 << FIVE_BITS, 1 << SHARD_BITS
 #: Kneser-Ney discounts of sixes, of the sixes behind a three, and of both labels together.
@@ -263,7 +262,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Models | None:
     marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(
         remainder(F.col("doc_id")).isin(1, 2, 3)
     )
-    labelled = _labelled_only(docs, marked).join(marked, "doc_id").select("toxic", "text")
+    maybe = maybe_among(marked.select("doc_id"))
+    labelled = docs.filter(maybe(F.col("doc_id"))).join(marked, "doc_id").select("toxic", "text")
     rows = _tables(_gather(labelled)).toPandas()
 
     def dense(kind: int, column: str, size: int) -> np.ndarray:
@@ -291,33 +291,6 @@ def learn(docs: DataFrame, labels: DataFrame) -> Models | None:
     )
 
 
-def _labelled_only(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """Documents that may be labelled, by a bitmap of fixed size, so fewer texts are shuffled."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << ID_BITS))
-    found = (
-        marked.select(spot.alias("spot"))
-        .groupBy(F.bitmap_bucket_number("spot").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-        .collect()
-    )
-    size = 4096
-    bits = np.zeros(size * (-(-(1 << ID_BITS) // (8 * size)) + 2), dtype=np.uint8)
-    for row in found:
-        start = row["bucket"] * size
-        bits[start : start + size] = np.frombuffer(row["bits"], np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def maybe(number: pd.Series, position: pd.Series) -> pd.Series:
-        bit = position.to_numpy()
-        held = sent.value[number.to_numpy() * size + bit // 8]
-        return pd.Series((held >> (bit % 8).astype(np.uint8) & 1).astype(bool))
-
-    return docs.filter("doc_id IS NOT NULL").filter(
-        maybe(F.bitmap_bucket_number(spot), F.bitmap_bit_position(spot))
-    )
-
-
 def raw_scores(docs: DataFrame, models: Models | None) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_letters and, as means over them, gain (the log
     ratio) and surge (its excess over ``SURGE``)."""

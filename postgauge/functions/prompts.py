@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Length limits, instruction, headings and example answers of the prompts.
 POST_LIMIT = 6_000
 EXAMPLE_LIMIT = 1_800
-
-# The instruction text the models were given.
 TASK = """You are evaluating an academic NLP benchmark for suicidal ideation detection.
 Classify whether the {which} contains suicidal ideation or suicidal risk.
 

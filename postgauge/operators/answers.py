@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime
 from functools import reduce
 
 import pandas as pd
@@ -19,12 +20,21 @@ from postgauge.session import settle
 
 Provider = Callable[[str, str], str]
 CELL = ("model", "prompt_mode")
+ANSWER_ORDER = ("run_started", "attempt", "seq", "position")
 
 
 def last_answers(stored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The answer with the highest sequence number per post; a missing text is empty."""
+    """The newest answer per post; a missing text is empty.
+
+    Answers are ordered by the start of their run and the attempt, older logs by their
+    number or else by their place in the stored files.
+    """
+    known = [name for name in ANSWER_ORDER if name in stored.columns]
+    if not known:
+        raise ValueError(f"stored answers need one of: {', '.join(ANSWER_ORDER)}")
+    text = F.coalesce("raw_response", F.lit(""))
     return stored.groupBy(*keys, F.col(TEXT_ID).cast("string").alias(TEXT_ID)).agg(
-        F.max_by(F.coalesce("raw_response", F.lit("")), "seq").alias("raw_response")
+        F.max_by(text, F.struct(*known, text.alias("text"))).alias("raw_response")
     )
 
 
@@ -96,12 +106,15 @@ def classify(
     prompt_mode: str = "zero_shot",
     examples: Sequence[tuple[str, str]] = (),
     max_attempts: int = 2,
+    run_started: datetime | None = None,
 ) -> DataFrame:
     """Ask for an answer per post and ask again, up to ``max_attempts``, while it is invalid.
 
     Expects the ``normalized`` column. Each round is judged and stored in one job, so
     later steps never call the provider again; only failed rows keep their prompt.
+    ``run_started`` (now, unless given) orders the stored answers of repeated runs.
     """
+    started = run_started or datetime.now()
     fields = [
         T.StructField(TEXT_ID, T.StringType()),
         T.StructField(USER, T.StringType()),
@@ -136,11 +149,24 @@ def classify(
         if pending.isEmpty():
             break
     answered = reduce(lambda a, b: a.unionByName(b), done).drop("_sent", "failure")
-    return answered.withColumns({"model": F.lit(model), "prompt_mode": F.lit(prompt_mode)})
+    return answered.withColumns(
+        {
+            "model": F.lit(model),
+            "prompt_mode": F.lit(prompt_mode),
+            "run_started": F.lit(started).cast("timestamp"),
+        }
+    )
 
 
 def raw_answers(classified: DataFrame) -> DataFrame:
     """The columns stored for a later replay."""
     return classified.select(
-        TEXT_ID, USER, "model", "prompt_mode", "raw_response", "error", F.col("attempts").alias("seq")
+        TEXT_ID,
+        USER,
+        "model",
+        "prompt_mode",
+        "raw_response",
+        "error",
+        "run_started",
+        F.col("attempts").alias("attempt"),
     )

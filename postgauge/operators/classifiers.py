@@ -5,13 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.config import CLASSIFIERS, NAIVE_BAYES, TARGET, Settings
 from postgauge.operators.linear_solver import minimise
-from postgauge.operators.tfidf import scaled, vector_total
+from postgauge.operators.tfidf import entries, scaled, vector_total
 
 WEIGHT = "_weight"
 
@@ -70,22 +69,24 @@ def balanced_weights(counts: tuple[int, int]) -> tuple[float, float]:
     return total / (2.0 * counts[0]), total / (2.0 * counts[1])
 
 
-def class_sums(frame: DataFrame, vector: str) -> ClassSums:
-    """One aggregation whose result is two vectors, whatever the number of rows."""
-    rows = (
-        frame.groupBy(TARGET)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            Summarizer.metrics("sum").summary(F.col(vector)).getField("sum").alias("total"),
-        )
-        .collect()
-    )
-    found = {row[TARGET]: row for row in rows}
-    require_two_classes((int(0 in found), int(1 in found)))
-    return ClassSums(
-        rows=(found[0]["n"], found[1]["n"]),
-        sums=(found[0]["total"].toArray(), found[1]["total"].toArray()),
-    )
+def class_sums(frame: DataFrame, vector: str, size: int) -> ClassSums:
+    """Sums of vectors of length ``size`` from (class, term) partial sums.
+
+    The shuffle carries one number per class and term; at most ``2 * size`` rows come back.
+    """
+    counts = class_counts(frame)
+    rows = entries(frame, vector, [TARGET]).groupBy(TARGET, "idx").agg(F.sum("tfidf").alias("total"))
+    sums = (np.zeros(size), np.zeros(size))
+    for row in rows.collect():
+        sums[row[TARGET]][row["idx"]] = row["total"]
+    return ClassSums(rows=counts, sums=sums)
+
+
+def vector_length(frame: DataFrame, vector: str) -> int:
+    """Length of the vectors in a column, from its first row."""
+    inner = F.unwrap_udt(F.col(vector))
+    length = F.when(inner.getField("type") == 0, inner.getField("size"))
+    return frame.select(F.coalesce(length, F.size(inner.getField("values"))).alias("n")).first()["n"]
 
 
 def fit_naive_bayes(sums: ClassSums, classifier: str, alpha: float) -> LinearFit:
@@ -100,15 +101,22 @@ def fit_naive_bayes(sums: ClassSums, classifier: str, alpha: float) -> LinearFit
     return LinearFit(classifier, logs[1] - logs[0], intercept)
 
 
-def fit_classifier(frame: DataFrame, vector: str, settings: Settings) -> LinearFit:
-    """Fit the classifier named in the settings on ``vector`` and the target column."""
+def fit_classifier(
+    frame: DataFrame, vector: str, settings: Settings, size: int | None = None
+) -> LinearFit:
+    """Fit the classifier named in the settings on ``vector`` and the target column.
+
+    ``size`` is the length of the vectors; a caller that knows it saves a job.
+    """
     name = settings.classifier
     if name not in CLASSIFIERS:
         raise ValueError(f"unknown classifier: {name}")
     if name in NAIVE_BAYES:
-        return fit_naive_bayes(class_sums(frame, vector), name, settings.nb_alpha)
+        size = size or vector_length(frame, vector)
+        return fit_naive_bayes(class_sums(frame, vector, size), name, settings.nb_alpha)
 
     counts = class_counts(frame)
+    size = size or vector_length(frame, vector)
     weights = balanced_weights(counts) if settings.balanced else (1.0, 1.0)
     total = weights[0] * counts[0] + weights[1] * counts[1]
     weighted = frame.select(
@@ -127,7 +135,7 @@ def fit_classifier(frame: DataFrame, vector: str, settings: Settings) -> LinearF
         vector,
         TARGET,
         WEIGHT,
-        n_rows=sum(counts),
+        size=size,
         loss=loss,
         factor=factor,
         penalty=penalty,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.config import NEGATIVE_LABEL, POSITIVE_LABEL
-from postgauge.operators.metrics import ALL, join_groups, ranked_scores, score_counts
+from postgauge.operators.metrics import ALL, ranked_scores, score_counts
 from postgauge.session import settle
 
 BINS = 20
@@ -25,7 +25,7 @@ def roc_curve(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     first = (F.col("pos_above") == 0) & (F.col("neg_above") == 0)
     last = F.col("next_pos").isNull()
     turn = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
-    points = join_groups(ranked.where(first | last | turn), both, names).select(
+    points = ranked.where(first | last | turn).join(both, names).select(
         *keys,
         F.col("score").alias("threshold"),
         ((F.col("neg_above") + F.col("neg")) / F.col("n")).alias("fpr"),
@@ -65,7 +65,7 @@ def score_histogram(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFra
     low_edge = F.col("lo") + F.col("guess") * step
     high_edge = F.col("lo") + (F.col("guess") + 1) * step
     placed = (
-        join_groups(scored, ranges, names)
+        scored.join(ranges, names)
         .withColumn("guess", guess)
         .withColumn(
             "bin",

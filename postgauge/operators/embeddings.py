@@ -67,7 +67,10 @@ def embed(
     requests = embedding_requests(posts.withColumn(TEXT_ID, F.col(TEXT_ID).cast("string")), model, max_chars)
     missing = cache_misses(requests, check_vectors(cache)).select(*CACHE_KEY, "cut")
     fresh = settle(missing.dropDuplicates(list(CACHE_KEY)).mapInPandas(_embed(provider, model), CACHE_SCHEMA))
-    known = cache.select(*CACHE_KEY, "embedding").unionByName(fresh)
+    stored = (
+        cache.where(F.col("model") == model).groupBy(*CACHE_KEY).agg(F.max("embedding").alias("embedding"))
+    )
+    known = stored.unionByName(fresh)
     joined = requests.join(known, list(CACHE_KEY), "left").drop("cut", "model", "text_hash")
     lengths = joined.agg(
         F.min(F.size("embedding")).alias("low"), F.max(F.size("embedding")).alias("high")

@@ -18,30 +18,34 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 HISTORY = 10
-FLAT_REDUCE_PARTITIONS = 32
-ROWS_PER_TASK = 20_000
+#: Stored values of a block, about; a block holds whole rows.
+BLOCK_VALUES = 500_000
 BLOCK_SCHEMA = "starts binary, idx binary, val binary, y binary, weight binary"
 
 
 def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One packed block per Arrow batch: compressed sparse rows as raw bytes."""
+    """Packed blocks of about ``BLOCK_VALUES`` values: compressed sparse rows as raw bytes."""
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        indices, values = batch.column("indices"), batch.column("vals")
-        lengths = np.diff(values.offsets.to_numpy())
-        starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        columns = [
-            starts,
-            indices.flatten().to_numpy(zero_copy_only=False).astype(np.int32),
-            values.flatten().to_numpy(zero_copy_only=False).astype(np.float64),
-            np.where(batch.column("y").to_numpy(zero_copy_only=False) > 0, 1.0, -1.0),
-            batch.column("weight").to_numpy(zero_copy_only=False).astype(np.float64),
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([c.tobytes()], pa.binary()) for c in columns],
-            names=["starts", "idx", "val", "y", "weight"],
-        )
+        lengths = np.diff(batch.column("vals").offsets.to_numpy())
+        block = np.cumsum(lengths) // BLOCK_VALUES
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(lengths)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            if start < end:
+                yield _packed(batch.slice(start, end - start), lengths[start:end])
+
+
+def _packed(rows: pa.RecordBatch, lengths: np.ndarray) -> pa.RecordBatch:
+    columns = [
+        np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
+        rows.column("indices").flatten().to_numpy(zero_copy_only=False).astype(np.int32),
+        rows.column("vals").flatten().to_numpy(zero_copy_only=False).astype(np.float64),
+        np.where(rows.column("y").to_numpy(zero_copy_only=False) > 0, 1.0, -1.0),
+        rows.column("weight").to_numpy(zero_copy_only=False).astype(np.float64),
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([c.tobytes()], pa.binary()) for c in columns],
+        names=["starts", "idx", "val", "y", "weight"],
+    )
 
 
 def _unpack(block: tuple[bytes, ...]) -> tuple[np.ndarray, ...]:
@@ -102,7 +106,7 @@ def minimise(
     vector: str,
     label: str,
     weight: str,
-    n_rows: int,
+    size: int,
     loss: str,
     factor: float,
     penalty: float,
@@ -112,8 +116,9 @@ def minimise(
 ) -> np.ndarray:
     """Weights followed by the intercept.
 
-    ``n_rows`` is the counted number of rows. Minimises ``penalty/2`` times the squared norm plus ``factor`` times the weighted
-    loss, until no gradient entry exceeds ``tol`` times the largest first one.
+    ``size`` is the length of the vectors. Minimises ``penalty/2`` times the squared norm plus
+    ``factor`` times the weighted loss, until no gradient entry exceeds ``tol`` times the
+    largest first one. Every evaluation is one pass over the cached blocks.
     """
     inner = F.unwrap_udt(F.col(vector))
     values = inner.getField("values")
@@ -128,50 +133,19 @@ def minimise(
         F.col(label).cast("double").alias("y"),
         F.col(weight).cast("double").alias("weight"),
     ).mapInArrow(_pack_blocks, BLOCK_SCHEMA)
-    length = F.when(sparse, inner.getField("size")).otherwise(F.size(values))
-    size = frame.select(length.alias("n")).first()["n"]
-
     shrink = np.full(size + 1, penalty)
     if not penalise_intercept:
         shrink[-1] = 0.0
-
-    def objective(total: np.ndarray, solution: np.ndarray) -> tuple[float, np.ndarray]:
-        value = 0.5 * float(shrink @ (solution * solution)) + factor * float(total[0])
-        return value, shrink * solution + factor * total[1:]
-
-    blocks = packed.rdd.map(tuple)
-    if n_rows <= ROWS_PER_TASK:
-        # The counted rows fit one task, so the iterations need no job each.
-        def solve(part) -> Iterator[np.ndarray]:
-            local = [_unpack(block) for block in part]
-            yield _quasi_newton(
-                lambda x: objective(_loss_and_gradient(local, x, loss), x),
-                np.zeros(size + 1),
-                max_iter,
-                tol,
-            )
-
-        return blocks.coalesce(1).mapPartitions(solve).first()
-
-    # Every iteration pays for each task, so tiny partitions are joined first.
-    blocks = blocks.coalesce(max(1, min(blocks.getNumPartitions(), n_rows // ROWS_PER_TASK)))
-    return _solve_distributed(blocks, objective, loss, size, max_iter, tol)
-
-
-def _solve_distributed(blocks, objective, loss: str, size: int, max_iter: int, tol: float) -> np.ndarray:
-    """One pass over the cached blocks per evaluation."""
-    context = blocks.context
-    flat = blocks.getNumPartitions() <= FLAT_REDUCE_PARTITIONS
-    cached = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = packed.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
 
     def evaluate(solution: np.ndarray) -> tuple[float, np.ndarray]:
-        shared = context.broadcast(solution)
-        parts = cached.mapPartitions(
+        shared = cached.context.broadcast(solution)
+        total = cached.mapPartitions(
             lambda part: [_loss_and_gradient(map(_unpack, part), shared.value, loss)]
-        )
-        total = parts.reduce(np.add) if flat else parts.treeReduce(np.add)
+        ).treeReduce(np.add)
         shared.unpersist()
-        return objective(total, solution)
+        value = 0.5 * float(shrink @ (solution * solution)) + factor * float(total[0])
+        return value, shrink * solution + factor * total[1:]
 
     try:
         return _quasi_newton(evaluate, np.zeros(size + 1), max_iter, tol)

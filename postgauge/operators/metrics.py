@@ -20,21 +20,7 @@ METRICS = (
     "true_positive_rate",
     "false_positive_rate",
 )
-ONE_WINDOW_ROWS = 1_000_000
-ROWS_PER_BAND = 500_000
-BAND_BITS = 10
 ALL = "_all"
-FEW_GROUPS = 10_000
-
-
-def join_groups(frame: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner"):
-    """Join rows to a stored table with one row per group.
-
-    Few groups mean long groups, so up to a counted limit that table is broadcast and
-    the rows stay where they are; many groups join on their keys.
-    """
-    small = F.broadcast(groups) if groups.count() <= FEW_GROUPS else groups
-    return frame.join(small, list(keys), how)
 
 
 def confusion_counts(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -74,42 +60,16 @@ def score_counts(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _score_band(cuts: list[float]) -> Column:
-    """Number of cut points below the score, by bisection inside the row."""
-    table = F.array(*(F.lit(c) for c in cuts))
-    steps = F.array(*(F.lit(1 << bit) for bit in reversed(range(BAND_BITS))))
-
-    def descend(position: Column, step: Column) -> Column:
-        reached = position + step
-        inside = reached <= len(cuts)
-        below = F.get(table, F.least(reached, F.lit(len(cuts))) - 1) < F.col("score")
-        return F.when(inside & below, reached).otherwise(position)
-
-    return F.aggregate(steps, F.lit(0), descend)
-
-
-def ranked_scores(
-    counts: DataFrame,
-    keys: Sequence[str],
-    one_window_rows: int = ONE_WINDOW_ROWS,
-    rows_per_band: int = ROWS_PER_BAND,
-) -> DataFrame:
+def ranked_scores(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``pos_above``/``neg_above``: totals of strictly higher scores in the group,
     and ``next_pos``/``next_neg``: the counts of the next lower score.
 
-    Few distinct scores are ranked in one window per group. Many are first cut into
-    bands of similar size, ranked inside each band, and shifted by the band totals, so
-    no task ever sorts a whole group.
+    Rows are range-partitioned by group and score and stored, and the partition serves as
+    the band: ranks are taken inside each band and shifted by the totals of the bands
+    above, so no task ever sorts more than one range.
     """
-    n_rows = counts.count()
-    if n_rows <= one_window_rows:
-        banded = counts.withColumn("band", F.lit(0))
-    else:
-        n_bands = min((1 << BAND_BITS) - 1, max(2, n_rows // rows_per_band))
-        shares = [i / n_bands for i in range(1, n_bands)]
-        cuts = counts.agg(F.percentile_approx("score", shares, 100_000).alias("cuts")).first()
-        banded = counts.withColumn("band", _score_band(sorted(set(cuts["cuts"]))))
-
+    ranges = counts.repartitionByRange(*keys, F.desc("score"))
+    banded = settle(ranges.withColumn("band", F.spark_partition_id()))
     order = Window.partitionBy(*keys, "band").orderBy(F.desc("score"))
     above = order.rowsBetween(Window.unboundedPreceding, -1)
     inside = banded.withColumns(
@@ -120,10 +80,7 @@ def ranked_scores(
             "next_neg": F.lead("neg").over(order),
         }
     )
-    if n_rows <= one_window_rows:
-        return inside.drop("band")
-
-    bands = Window.partitionBy(*keys).orderBy(F.desc("band"))
+    bands = Window.partitionBy(*keys).orderBy("band")
     higher = bands.rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         banded.groupBy(*keys, "band")
@@ -193,5 +150,5 @@ def gated_metrics(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     errors = settle(errors)
     passed = errors.where("error_count = 0").select(*keys)
-    clean = join_groups(predictions, passed, keys, "left_semi")
+    clean = predictions.join(passed, list(keys), "left_semi")
     return errors.join(evaluate(clean, keys), list(keys), "left")

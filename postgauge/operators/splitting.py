@@ -6,7 +6,6 @@ import math
 import warnings
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +24,6 @@ from postgauge.operators.terms import NORMALIZED
 from postgauge.session import settle
 
 PREFIX = 3
-MAX_SIGNATURES = 20_000
 HOT_SHARE = 2_000
 
 
@@ -63,8 +61,7 @@ def split_by_user(posts: DataFrame, validation_size: float = 0.2, seed: int = 42
     One pass counts distinct users per key prefix, at most 4096 rows; the second reads
     only the users under the prefix that holds the cut.
     """
-    if USER not in posts.columns:
-        raise ValueError(f"column not found: {USER}")
+    require_users(posts)
     keys = posts.select(order_key(seed, F.col(USER)).alias("key"))
     prefix = F.substring("key", 1, PREFIX).alias("prefix")
     counted = keys.distinct().groupBy(prefix).count().collect()
@@ -123,59 +120,52 @@ def split_quality(tagged: DataFrame) -> DataFrame:
     )
 
 
-def _deal(signatures: list[tuple[int, int, int]], n_folds: int) -> dict[tuple[int, int], list[int]]:
-    """Fold of each left-over user, per (negatives, positives) signature.
+def require_users(posts: DataFrame) -> None:
+    """A post without a user belongs to no side of a split."""
+    if USER not in posts.columns:
+        raise ValueError(f"column not found: {USER}")
+    missing = posts.where(F.col(USER).isNull()).count()
+    if missing:
+        raise ValueError(f"{missing} posts have no {USER}")
+
+
+def _dealt(leftover: DataFrame, n_folds: int) -> DataFrame:
+    """Folds of the users their signature cannot spread evenly, in one order over all.
 
-    A signature's users are interchangeable, so all but ``users mod k`` of them spread
-    evenly and keep the balance. The rest go one at a time to the fold that leaves the
-    class shares of the folds most even.
+    Users whose classes differ most come first; they are dealt one per fold, forwards and
+    backwards in turn, so each round hands similar users to all folds. The order is cut
+    into ranges whose counts shift the places inside them.
     """
-    table = np.array(signatures, dtype=float)
-    totals = (table[:, :2] * table[:, 2:]).sum(axis=0)
-    totals = np.where(totals > 0, totals, 1.0)
-    even = np.floor(table[:, 2] / n_folds)
-    filled = np.tile((table[:, :2] * even[:, None]).sum(axis=0), (n_folds, 1))
-    order = sorted(
-        range(len(signatures)), key=lambda i: (-float(np.std(table[i, :2])), signatures[i][:2])
+    order = [F.desc(F.abs(F.col("neg") - F.col("pos"))), F.desc("pos"), F.desc("neg"), "key", USER]
+    banded = settle(leftover.repartitionByRange(*order).withColumn("band", F.spark_partition_id()))
+    before = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        banded.groupBy("band")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .select("band", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
     )
-    dealt: dict[tuple[int, int], list[int]] = {}
-    for i in order:
-        negatives, positives, users = signatures[i]
-        chosen: list[int] = []
-        for _ in range(users % n_folds):
-            spread = []
-            for fold in range(n_folds):
-                trial = filled.copy()
-                trial[fold] += (negatives, positives)
-                spread.append(float(np.mean(np.std(trial / totals, axis=0))))
-            best = min(
-                range(n_folds),
-                key=lambda f: (round(spread[f], 12), filled[f].sum(), f),
-            )
-            filled[best] += (negatives, positives)
-            chosen.append(best + 1)
-        dealt[(negatives, positives)] = chosen
-    return dealt
+    place = F.row_number().over(Window.partitionBy("band").orderBy(*order)) - 1
+    ranked = banded.withColumn("place", place).join(shifts, "band")
+    rank = F.col("place") + F.col("before")
+    step, turn = F.pmod(rank, F.lit(n_folds)), F.pmod(F.floor(rank / n_folds), F.lit(2))
+    return ranked.withColumn("fold", F.when(turn == 0, step + 1).otherwise(n_folds - step))
 
 
 def assign_folds(posts: DataFrame, n_folds: int = 5, seed: int = 42) -> DataFrame:
     """Stratified folds without shared users: ``(user_id, n, fold)``, one row per user."""
-    for name in (USER, TARGET):
-        if name not in posts.columns:
-            raise ValueError(f"column not found: {name}")
+    require_users(posts)
+    if TARGET not in posts.columns:
+        raise ValueError(f"column not found: {TARGET}")
     users = settle(
         posts.groupBy(USER).agg(
             F.count_if(F.col(TARGET) == 0).alias("neg"), F.count_if(F.col(TARGET) == 1).alias("pos")
         )
     )
-    by_size = users.groupBy("neg", "pos").agg(F.count(F.lit(1)).alias("users"))
-    signatures = by_size.orderBy(F.desc("users"), "neg", "pos").limit(MAX_SIGNATURES).collect()
     class_rows = users.agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).first()
     if n_folds > max(class_rows):
         raise ValueError(f"{n_folds} folds exceed the rows of every class")
     if n_folds > min(class_rows):
         warnings.warn("the smaller class has fewer rows than there are folds", stacklevel=2)
-    dealt = _deal([tuple(row) for row in signatures], n_folds)
 
     # Rank users inside their signature. The signature of single-post users may hold
     # most users, so it is ranked in up to 4096 pieces that are then shifted.
@@ -183,35 +173,26 @@ def assign_folds(posts: DataFrame, n_folds: int = 5, seed: int = 42) -> DataFram
         "prefix", F.substring("key", 1, PREFIX)
     )
     piece = ["neg", "pos", "prefix"]
-    before = Window.partitionBy("neg", "pos").orderBy("prefix").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    signature = Window.partitionBy("neg", "pos")
+    before = signature.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         keyed.groupBy(*piece)
         .agg(F.count(F.lit(1)).alias("size"))
         .withColumn("shift", F.coalesce(F.sum("size").over(before), F.lit(0)))
+        .withColumn("alike", F.sum("size").over(signature))
     )
-    ranked = keyed.withColumn(
-        "place", F.row_number().over(Window.partitionBy(*piece).orderBy("key")) - 1
-    ).join(shifts.select(*piece, "shift"), piece)
-    rank = F.col("place") + F.col("shift")
-
-    spark = posts.sparkSession
-    rest = spark.createDataFrame(
-        [(n, p, folds) for (n, p), folds in dealt.items()],
-        "neg bigint, pos bigint, rest array<int>",
-    )
-    placed = ranked.join(F.broadcast(rest), ["neg", "pos"], "left")
-    leftover = F.get(F.col("rest"), rank.cast("int"))
-    start = F.when(F.col("rest").isNull(), F.xxhash64("neg", "pos")).otherwise(-F.size("rest"))
-    even = F.pmod(rank + F.pmod(start, F.lit(n_folds)), F.lit(n_folds)) + 1
-    return settle(
-        placed.select(
-            USER,
-            (F.col("neg") + F.col("pos")).alias("n"),
-            F.coalesce(leftover, even).cast("int").alias("fold"),
-        )
+    place = F.row_number().over(Window.partitionBy(*piece).orderBy("key")) - 1
+    ranked = settle(
+        keyed.withColumn("place", place)
+        .join(shifts.select(*piece, "shift", "alike"), piece)
+        .withColumn("rank", F.col("place") + F.col("shift"))
+        .select(USER, "neg", "pos", "key", "rank", "alike")
     )
+    even = F.col("rank") < F.col("alike") - F.pmod("alike", F.lit(n_folds))
+    spread = ranked.where(even).withColumn("fold", F.pmod("rank", F.lit(n_folds)) + 1)
+    columns = [USER, (F.col("neg") + F.col("pos")).alias("n"), F.col("fold").cast("int").alias("fold")]
+    dealt = _dealt(ranked.where(~even), n_folds)
+    return settle(spread.select(*columns).unionByName(dealt.select(*columns)))
 
 
 def tag_folds(posts: DataFrame, assignment: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from postgauge.config import CLASSIFIERS, FEATURES, LABEL, TARGET, TEXT_ID, USER
 from postgauge.functions.keys import hash_fold, run_id
 from postgauge.operators.metrics import evaluate, metric_record
 from postgauge.plans.training import normalized
-from postgauge.session import spread
 from postgauge.sources.posts import prepare_posts
 
 SEED = 42
@@ -28,7 +27,8 @@ def raw_posts(spark: SparkSession, sf_dir: str, labelled: bool | None = None) ->
 
     ``labelled`` keeps only posts with or only posts without a label.
     """
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    # Dealt by the key of the join below, which then moves no text again.
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source").repartition("doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     kind = {None: "left", True: "inner", False: "left_anti"}[labelled]
     joined = documents.join(labels, "doc_id", kind)
@@ -36,7 +36,7 @@ def raw_posts(spark: SparkSession, sf_dir: str, labelled: bool | None = None) ->
         joined = joined.withColumn("quality", F.lit(None).cast("int"))
     text = F.coalesce("text", F.lit(""))
     newline = F.instr(text, "\n")
-    return spread(joined, "doc_id", documents).select(
+    return joined.select(
         F.col("doc_id").cast("string").alias(TEXT_ID),
         F.concat_ws("_", "source", (F.col("doc_id") % 7).cast("string")).alias(USER),
         F.when(newline > 0, F.substring_index(text, "\n", 1)).otherwise(text).alias("title"),
@@ -191,7 +191,7 @@ def stored_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored vectors as labelled rows of many users."""
-    vectors = spread(table(spark, sf_dir, "embeddings"), "vec_id")
+    vectors = table(spark, sf_dir, "embeddings")
     return vectors.select(
         F.col("vec_id").cast("string").alias(TEXT_ID),
         (F.col("vec_id") % 50).cast("string").alias(USER),

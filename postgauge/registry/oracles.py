@@ -2,7 +2,28 @@
 
 from __future__ import annotations
 
-from postgauge.functions import prompts
+# The instruction text the models were given, written out again here.
+TASK_TEXT = """You are evaluating an academic NLP benchmark for suicidal ideation detection.
+Classify whether the {which} contains suicidal ideation or suicidal risk.
+
+Return only valid JSON with this exact schema:
+{{
+  "label": "yes" or "no",
+  "score": number from 0.0 to 1.0,
+  "evidence": ["short quoted or paraphrased evidence"],
+  "justification": "brief explanation"
+}}
+
+Rules:
+- Use "yes" when the post expresses suicidal ideation, intent, planning,
+  self-harm intent, or explicit desire not to live.
+- Use "no" for depression, stress, sadness, or support-seeking without suicidal
+  ideation or self-harm intent.
+- The score is confidence for the "yes" class.
+- Do not provide clinical advice. Do not add text outside the JSON.
+
+"""
+
 
 SPACE = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -307,11 +328,11 @@ examples AS (
 
 
 def zero_shot(text: str) -> str:
-    opening = prompts.TASK.format(which="Reddit post") + 'Reddit post:\n"""'
+    opening = TASK_TEXT.format(which="Reddit post") + 'Reddit post:\n"""'
     return f"{quoted(opening)} || substr({text}, 1, 6000) || " + "'\"\"\"'"
 
 
-FEW_SHOT_OPENING = prompts.TASK.format(which="final Reddit post") + "Few-shot examples:\n"
+FEW_SHOT_OPENING = TASK_TEXT.format(which="final Reddit post") + "Few-shot examples:\n"
 FEW_SHOT_BLOCK = (
     "'Example ' || position || chr(10) || 'Reddit post:' || chr(10) || '\"\"\"' || substr(text, 1, 1800)"
     " || '\"\"\"' || chr(10) || 'Expected JSON:' || chr(10) || '{\"label\":\"' || label || '\",\"score\":'"

@@ -80,7 +80,7 @@ def normalized_text(spark, sf_dir):
 
 
 def normalized_pages(spark, sf_dir):
-    pages = A.spread(A.table(spark, sf_dir, "pages"), "page_id")
+    pages = A.table(spark, sf_dir, "pages")
     return pages.select("page_id", X.normalized_post("url", "html").alias(NORMALIZED))
 
 
@@ -231,7 +231,7 @@ def _predictions(classifier: str, features: str = "word_unigram") -> Query:
 def conversation_predictions(spark, sf_dir):
     """A fitted model applied to texts that never had labels."""
     model, _ = _fitted(spark, sf_dir, "complement_nb", "word_unigram")
-    turns = A.spread(A.table(spark, sf_dir, "conversations"), "conv_id")
+    turns = A.table(spark, sf_dir, "conversations")
     new = turns.select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias(TEXT_ID),
         F.col("role").alias(USER),

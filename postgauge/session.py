@@ -6,8 +6,6 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_INPUT_BYTES = 1 << 30
-
 
 def build_session(name: str = "postgauge", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the options the jobs here rely on; ``conf`` wins over them."""
@@ -51,16 +49,3 @@ def settle(frame: DataFrame) -> DataFrame:
     """Store a result that several later jobs read, so none of them repeats its work."""
     ensure_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
-
-
-def spread(frame: DataFrame, key: str, source: DataFrame | None = None) -> DataFrame:
-    """Give a small input that arrives in few row groups one partition per core.
-
-    ``source`` is the table whose size decides, where ``frame`` already joins it to
-    others. Inputs above the size limit split into enough partitions by themselves and
-    stay as they are, so no large table is ever shuffled here.
-    """
-    plan = (frame if source is None else source)._jdf.queryExecution().optimizedPlan()
-    if int(str(plan.stats().sizeInBytes())) > SMALL_INPUT_BYTES:
-        return frame
-    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, key)

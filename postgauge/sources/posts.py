@@ -17,6 +17,7 @@ MISSING_CELLS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 SHOWN_BAD_LABELS = 20
+BEYOND = "_beyond_header"
 
 
 def require_columns(frame: DataFrame, require_label: bool = True) -> None:
@@ -41,7 +42,7 @@ def target_column(frame: DataFrame) -> Column:
 
 
 def decode_labels(frame: DataFrame, check: bool = True) -> DataFrame:
-    """Add the target column; unknown labels are an error that names some of them.
+    """Add the target column; unknown labels are an error that counts them and names some.
 
     Without a label column the frame passes through.
     """
@@ -49,17 +50,11 @@ def decode_labels(frame: DataFrame, check: bool = True) -> DataFrame:
         return frame
     decoded = frame.withColumn(TARGET, target_column(frame))
     if check:
-        bad = (
-            decoded.where(F.col(TARGET).isNull())
-            .select(F.col(LABEL).cast("string"))
-            .distinct()
-            .limit(SHOWN_BAD_LABELS)
-            .collect()
-        )
-        if bad:
-            raise ValueError(
-                "labels not recognised: " + ", ".join(sorted(str(row[0]) for row in bad))
-            )
+        bad = decoded.where(F.col(TARGET).isNull()).select(F.col(LABEL).cast("string")).distinct()
+        found = bad.count()
+        if found:
+            shown = sorted(str(row[0]) for row in bad.limit(SHOWN_BAD_LABELS).collect())
+            raise ValueError(f"{found} labels not recognised: {', '.join(shown)}")
     return decoded
 
 
@@ -74,18 +69,26 @@ def read_csv_columns(
 ) -> DataFrame:
     """Quoted, multi-line CSV as text columns with missing cells as null.
 
-    Columns are matched by the header; only the wanted ones are kept.
+    Columns are matched by the header; only the wanted ones are kept. A row with a cell
+    beyond the header is an error.
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        .csv(path)
     )
-    names = [c for c in raw.columns if columns is None or c in columns]
-    return raw.select(
+    header = reader.csv(path).columns
+    fields = [T.StructField(name, T.StringType()) for name in (*header, BEYOND)]
+    raw = reader.option("columnPruning", False).schema(T.StructType(fields)).csv(path)
+    whole = raw.where(
+        F.when(F.col(BEYOND).isNull(), True).otherwise(
+            F.raise_error(F.lit(f"a row of {path} has more cells than the header"))
+        )
+    )
+    names = [c for c in header if columns is None or c in columns]
+    return whole.select(
         *(F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in names)
     )
 

@@ -73,12 +73,21 @@ def write_answers(answers: DataFrame, path: str) -> None:
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    """Stored answers; an answer that is not a text counts as empty."""
+    """Stored answers; an answer that is not a text counts as empty.
+
+    ``position`` is the place in the stored files, for logs without a run start or number.
+    """
     schema = (
-        "text_id string, user_id string, raw_response variant, error string, seq bigint, "
-        "model string, prompt_mode string"
+        "text_id string, user_id string, raw_response variant, error string, "
+        "run_started timestamp, attempt bigint, seq bigint, model string, prompt_mode string"
     )
     stored = spark.read.schema(schema).json(path)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    stored = stored.withColumn("position", place)
     text = F.when(
         F.schema_of_variant("raw_response") == "STRING",
         F.try_variant_get("raw_response", "$", "string"),

@@ -131,3 +131,20 @@ def test_matrix(spark, posts):
     assert rows["good:1", "few_shot"].roc_auc == 1.0 and rows["good:1", "zero_shot"].method == "phase3_llm_zero_shot"
     assert rows["bad", "zero_shot"].error_count == 1 and rows["bad", "zero_shot"].f1 is None
     assert rows["good:1", "few_shot"].representation == "ollama_good_1"
+
+
+def test_a_later_run_wins_over_more_attempts(spark, posts):
+    """A rerun with fewer attempts replaces the older answer."""
+    from datetime import datetime
+
+    def says(label):
+        return lambda model, prompt: f'{{"label":"{label}","score":0.5}}'
+
+    few = posts.where("text_id IN ('t00', 't01')")
+    first = answers.classify(few, says("no"), "m", run_started=datetime(2024, 1, 1))
+    old = answers.raw_answers(first).withColumn("attempt", F.lit(2))
+    new = answers.raw_answers(answers.classify(few, says("yes"), "m", run_started=datetime(2024, 1, 2)))
+    found = answers.replay(few, new.unionByName(old)).collect()
+    assert [r.y_pred for r in found] == [1, 1]
+    with pytest.raises(ValueError, match="run_started"):
+        answers.last_answers(new.select("text_id", "raw_response"))

@@ -26,6 +26,8 @@ def test_stored_vectors_are_reused(spark, posts, tmp_path):
     again, none = E.embed(posts, read_store(spark, path), provider, "m", 20)
     assert again.count() == 60 and none.count() == 0
     assert len(log.read_text().split()) == 60
+    append_store(fresh, path)
+    assert E.embed(posts, read_store(spark, path), provider, "m", 20)[0].count() == 60
     # Another model, or another cut of the text, is not served from the store.
     requests = E.embedding_requests(posts, "other", 20)
     assert E.cache_misses(requests, read_store(spark, path)).count() == 60

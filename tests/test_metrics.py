@@ -51,14 +51,18 @@ def test_auc_with_ties(spark):
     assert roc_auc(frame).first().roc_auc == pytest.approx(brute_auc(rows))
 
 
-def test_banded_ranking_equals_one_window(spark):
+def test_ranking_over_ranges(spark):
     _, frame = scored(spark, 3000, 900)
     keyed = frame.withColumn("k", (F.col("score") * 7 % 2).cast("int"))
     counts = score_counts(keyed, ["k"])
-    plain = ranked_scores(counts, ["k"])
-    banded = ranked_scores(counts, ["k"], one_window_rows=0, rows_per_band=40)
-    columns = sorted(plain.columns)
-    assert sorted(map(str, plain.select(columns).collect())) == sorted(map(str, banded.select(columns).collect()))
+    found = {(r.k, r.score): r for r in ranked_scores(counts, ["k"]).collect()}
+    for k in (0, 1):
+        above = [0, 0]
+        ordered = sorted((r for r in found.values() if r.k == k), key=lambda r: -r.score)
+        for row, following in zip(ordered, [*ordered[1:], None], strict=True):
+            assert [row.pos_above, row.neg_above] == above
+            assert (row.next_pos, row.next_neg) == ((following.pos, following.neg) if following else (None, None))
+            above = [above[0] + row.pos, above[1] + row.neg]
 
 
 def test_roc_curve(spark):

@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from postgauge.functions.labels import binary_flag
+from postgauge.operators.answers import last_answers
 from postgauge.operators.metrics import evaluate, metric_record
 from postgauge.sources.models import load_model, save_model
-from postgauge.sources.posts import prepare_posts, read_posts_csv, read_raw_posts
+from postgauge.sources.posts import prepare_posts, read_csv_columns, read_posts_csv, read_raw_posts
 from postgauge.sources.results import (
     coerce_cv_summary,
     coerce_run_summary,
@@ -106,3 +107,23 @@ def test_model_round_trip(spark, small_posts, tmp_path):
     features, fit = load_model(spark, str(tmp_path))
     assert features.terms == model.features.terms and features.spec == model.features.spec
     assert fit.weights.tolist() == model.fit.weights.tolist()
+
+
+def test_a_log_without_numbers_is_read_in_order(spark, tmp_path):
+    folder = tmp_path / "a" / "model=m" / "prompt_mode=zero_shot"
+    folder.mkdir(parents=True)
+    (folder / "x.json").write_text(
+        '{"text_id":"1","raw_response":"old"}\n{"text_id":"1","raw_response":"new"}\n{"text_id":"2","raw_response":"only"}\n'
+    )
+    last = last_answers(read_answers(spark, str(tmp_path / "a")))
+    assert {r.text_id: r.raw_response for r in last.collect()} == {"1": "new", "2": "only"}
+
+
+def test_a_cell_beyond_the_header_is_an_error(spark, tmp_path):
+    path = tmp_path / "posts.csv"
+    path.write_text('user_id,text_id,title,text\nu,1,"a, b",c\nu,2,d\n')
+    rows = read_csv_columns(spark, str(path)).orderBy("text_id").collect()
+    assert [(r.title, r.text) for r in rows] == [("a, b", "c"), ("d", None)]
+    path.write_text("user_id,text_id,title,text\nu,1,a,b,extra\n")
+    with pytest.raises(Exception, match="more cells"):
+        read_csv_columns(spark, str(path)).collect()

@@ -54,6 +54,23 @@ def test_equal_users_spread_evenly(spark):
     assert all(r.count_yes in (10, 11) and r.count_no in (10, 11) for r in sizes.values())
 
 
+def test_posts_without_user_are_refused(spark):
+    frame = spark.createDataFrame([(None, "1", 0), ("b", "2", 1)], "user_id string, text_id string, y int")
+    for split in (S.split_by_user, S.assign_folds):
+        with pytest.raises(ValueError, match="1 posts have no user_id"):
+            split(frame)
+
+
+def test_many_signatures_stay_balanced(spark):
+    rows = [(f"u{i}", f"t{i}-{j}", int(j < i % 13)) for i in range(300) for j in range(1 + i % 13 + i % 7)]
+    frame = spark.createDataFrame(rows, "user_id string, text_id string, y int")
+    tagged = S.tag_folds(frame, S.assign_folds(frame, 5, 42))
+    sizes = S.fold_integrity(tagged).collect()
+    for column in ("validation_rows", "count_yes", "count_no", "validation_users"):
+        found = [r[column] for r in sizes]
+        assert max(found) - min(found) <= 0.12 * sum(found) / 5
+
+
 def test_fold_limits(spark):
     frame = spark.createDataFrame([("a", "1", 0), ("b", "2", 1), ("c", "3", 1)], "user_id string, text_id string, y int")
     with pytest.raises(ValueError):

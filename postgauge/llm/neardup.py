@@ -11,11 +11,13 @@ exists among six or more values of which at most a fifth are missing; sets of fo
 shingles are matched by their four common values instead). For larger sets the chance that a
 pair of similarity s shares no run among 64 values is below 1e-9 at s = 0.8.
 
-A list of up to ``LIST`` classes gives its pairs. A longer list, as of frequent words or of a
-passage many texts share, is split by longer runs. A member whose longer run nobody shares,
-or that has none, is compared with the leader of the last long list it was in, so the cost of
-long lists is linear. Lists still long at the longest run are groups of near copies, and all
-their members are compared with the leader: members that the leader did not link into the list's main component are
+Every list has a leader. A list of more than ``LIST`` classes, as of frequent words or of a
+passage many texts share, is split by longer runs, and a member whose longer run nobody
+shares, or that has none, is compared with the leader of the last long list it was in. First
+all members are compared with leaders only, which is linear in the lists, and the links give
+components. Then the pairs of a short list that are still in different components are
+compared too; a pair inside a component needs no link of its own. Lists still long at the
+longest run are groups of near copies: members outside such a list's main component are
 compared with all members outside their own. Overlap of the union sketch (its share of
 common values, 0.5 or more) filters candidates; links are confirmed on full sets.
 
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -155,6 +158,11 @@ def _small_pairs(classes: DataFrame) -> DataFrame:
     return four.join(five, "key").select(*_ordered(F.col("x"), F.col("y")))
 
 
+def _leader() -> Column:
+    """The leader of a list (its smallest hashed node) and the size of its set, as a struct."""
+    return F.min(F.struct(F.xxhash64("node"), F.col("node").alias("leader"), F.col("n").alias("m")))
+
+
 def _led(rows: DataFrame) -> DataFrame:
     """Rows of a long list with its leader."""
     return rows.filter((F.col("node") != F.col("leader")) & _alike(F.col("n"), F.col("m"))).select(
@@ -162,15 +170,28 @@ def _led(rows: DataFrame) -> DataFrame:
     )
 
 
+def _stars_of_lists(rows: DataFrame) -> DataFrame:
+    """Members of lists of bounded length with the list's leader."""
+    lists = rows.groupBy("key").agg(
+        F.collect_list(F.struct("node", "n")).alias("members"), _leader().alias("least")
+    )
+    led = F.filter(
+        "members",
+        lambda x: (x["node"] != F.col("least.leader")) & _alike(x["n"], F.col("least.m")),
+    )
+    pairs = F.transform(led, lambda x: F.struct(*_ordered(x["node"], F.col("least.leader"))))
+    return lists.select(F.inline(pairs))
+
+
 def _pairs_of_lists(rows: DataFrame) -> DataFrame:
-    """All pairs of alike sizes in lists of bounded length."""
-    lists = rows.groupBy("key").agg(F.collect_list(F.struct("node", "n")).alias("members"))
+    """Pairs of alike sizes and different roots in lists of bounded length."""
+    lists = rows.groupBy("key").agg(F.collect_list(F.struct("node", "n", "root")).alias("members"))
     pairs = F.transform(
         "members",
         lambda x, i: F.transform(
             F.filter(
                 "members",
-                lambda y, j: (j > i) & (y["node"] != x["node"]) & _alike(x["n"], y["n"]),
+                lambda y, j: (j > i) & (y["root"] != x["root"]) & _alike(x["n"], y["n"]),
             ),
             lambda y: F.struct(*_ordered(x["node"], y["node"])),
         ),
@@ -178,9 +199,9 @@ def _pairs_of_lists(rows: DataFrame) -> DataFrame:
     return lists.select(F.inline(F.flatten(pairs)))
 
 
-def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of nodes to look at, and the rows (key, node, n) of lists that stay long."""
-    pairs = [_small_pairs(classes)]
+def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of members and leaders, and the rows (key, node, n) of short and of long lists."""
+    pairs, short = [_small_pairs(classes)], []
     at = F.sequence(F.lit(0), F.size("sketch") - RUNS[0])
     rows = classes.filter("n >= 5").select(
         "node",
@@ -192,7 +213,6 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
             )
         ),
     )
-    leader = F.struct(F.xxhash64("node"), F.col("node").alias("leader"), F.col("n").alias("m"))
     for level, length in enumerate(RUNS):
         if level:
             fits = F.col("at") + length <= F.least("n", F.lit(SKETCH))
@@ -209,20 +229,19 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         if level:
             pairs.append(_led(shared.filter("listed IS NULL")))
             shared = shared.drop("leader", "m")
-        pairs.append(_pairs_of_lists(shared.filter(F.col("listed") <= LIST)))
+        short.append(shared.filter(F.col("listed") <= LIST).select("key", "node", "n"))
+        pairs.append(_stars_of_lists(short[-1]))
         long_rows = shared.filter(F.col("listed") > LIST)
         if long_rows.isEmpty():
             break
-        leaders = long_rows.groupBy("key").agg(F.min(leader).alias("least"))
+        leaders = long_rows.groupBy("key").agg(_leader().alias("least"))
         long_rows = settle(
             long_rows.join(leaders, "key").select("key", "node", "n", "at", "least.leader", "least.m")
         )
     else:
         pairs.append(_led(long_rows))
-    union = pairs[0]
-    for more in pairs[1:]:
-        union = union.union(more)
-    return union.distinct(), long_rows.select("key", "node", "n")
+    led = reduce(DataFrame.union, pairs).distinct()
+    return led, reduce(DataFrame.union, short), long_rows.select("key", "node", "n")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -325,11 +344,15 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
-def _outside_pairs(long_rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """In lists still long: members outside the list's main component with those of others."""
-    rows = long_rows.join(roots, "node", "left").select(
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "node", "left").select(
         "key", "node", "n", F.coalesce("root", "node").alias("root")
     )
+
+
+def _outside_pairs(long_rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """In lists still long: members outside the list's main component with those of others."""
+    rows = _rooted(long_rows, roots)
     main = (
         rows.groupBy("key", "root")
         .agg(F.count("*").alias("c"))
@@ -369,16 +392,20 @@ def near_duplicates(
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
-    candidates, long_rows = _candidates(classes)
-    likely = settle(_estimated(settle(candidates), classes))
-    sets = settle(_full_sets(likely, classes, docs, width, id_column, text))
-    links = settle(_confirmed(likely, sets))
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        likely = settle(_estimated(settle(pairs), classes))
+        sets = settle(_full_sets(likely, classes, docs, width, id_column, text))
+        return settle(_confirmed(likely, sets))
+
+    led, short, long_rows = _candidates(classes)
+    links = confirmed(led)
     roots = components(links)
+    rest = _pairs_of_lists(_rooted(short, roots))
     if not long_rows.isEmpty():
-        rest = settle(_estimated(settle(_outside_pairs(long_rows, roots)), classes))
-        if not rest.isEmpty():
-            more = _confirmed(rest, _full_sets(rest, classes, docs, width, id_column, text))
-            roots = components(links.union(more))
+        rest = rest.union(_outside_pairs(long_rows, roots))
+    rest = settle(rest.distinct())
+    if not rest.isEmpty():
+        roots = components(links.union(confirmed(rest)))
     rooted = classes.join(roots, "node", "left").select(
         "set_key", "first_id", F.coalesce("root", "node").alias("root")
     )

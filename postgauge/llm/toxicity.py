@@ -264,15 +264,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Models | None:
     )
     maybe = maybe_among(marked.select("doc_id"))
     labelled = docs.filter(maybe(F.col("doc_id"))).join(marked, "doc_id").select("toxic", "text")
-    rows = _tables(_gather(labelled)).toPandas()
-
-    def dense(kind: int, column: str, size: int) -> np.ndarray:
-        out = np.zeros(size, dtype=np.float32)
-        part = rows[rows["kind"] == kind]
-        out[part["at"].to_numpy()] = part[column].to_numpy()
+    rows = settle(_tables(_gather(labelled)))
+
+    def dense(kind: int, columns: str, size: int) -> np.ndarray:
+        """One table's columns; only they are brought to the driver, as Arrow batches."""
+        out = np.zeros((len(columns), size), dtype=np.float32)
+        part = rows.filter(F.col("kind") == kind).select("at", *columns).toArrow()
+        at = part.column("at").to_numpy()
+        for i, name in enumerate(columns):
+            out[i, at] = part.column(name).to_numpy()
         return out
 
-    before = np.stack([dense(2, c, _LOW) for c in "abc"]).astype(float)
+    before = dense(2, "abc", _LOW).astype(float)
     if not before[:2].sum(axis=1).all():
         return None
     before = before.reshape(3, -1, _LETTERS)
@@ -281,11 +284,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Models | None:
     freed = np.minimum(before[:2], LOW_DISCOUNT)
     taken, scale = freed.sum(axis=2, keepdims=True), np.maximum(sums[:2], 1)
     low = (before[:2] - freed) / scale + np.where(sums[:2] > 0, taken / scale, 1) * shared
+    fives = dense(1, "abcde", FIVES)
     return Models(
-        six=np.stack([dense(0, c, PAIRS) for c in "ab"]),
-        five=np.stack([dense(1, c, FIVES) for c in "ac"]),
-        freed=np.stack([dense(1, c, FIVES) for c in "bd"]),
-        types=dense(1, "e", FIVES),
+        six=dense(0, "ab", PAIRS),
+        five=fives[[0, 2]],
+        freed=fives[[1, 3]],
+        types=fives[4],
         low=low.reshape(2, -1).astype(np.float32),
         shared=shared.ravel().astype(np.float32),
     )
@@ -354,7 +358,7 @@ def score(
         marks.filter("toxic IS NOT NULL").filter(remainder(F.col("doc_id")) == 4), "doc_id"
     ).select("n_letters", "gain", "surge", "toxic")
     seen = fit.count()
-    rows = fit.sample(min(1.0, FIT_ROWS / seen), seed=5).toPandas().to_numpy() if seen else np.zeros((0, 4))
+    rows = fit.sample(min(1.0, FIT_ROWS / seen), seed=5).toArrow().to_pandas().to_numpy() if seen else np.zeros((0, 4))
     weights = fit_curve(rows[:, :3], rows[:, 3]).tolist()
     terms = [*_inputs(F.col("n_letters"), F.col("gain"), F.col("surge"), F.log), F.lit(1.0)]
     line = sum((F.lit(w) * t for w, t in zip(weights, terms, strict=True)), F.lit(0.0))

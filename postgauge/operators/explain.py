@@ -25,8 +25,10 @@ ETHICS_NOTE = (
 def term_weights(spark: SparkSession, terms: list[str], fit: LinearFit, top_n: int = 25) -> DataFrame:
     """The ``top_n`` terms at either end of the weights, with their rank."""
     by_name = np.argsort(np.array(terms, dtype=object), kind="stable")
-    rising = by_name[np.argsort(fit.weights[by_name], kind="stable")]
-    falling = by_name[np.argsort(-fit.weights[by_name], kind="stable")]
+    # Weights equal up to the order of addition are a tie, which the term breaks.
+    level = np.round(fit.weights[by_name], 9)
+    rising = by_name[np.argsort(level, kind="stable")]
+    falling = by_name[np.argsort(-level, kind="stable")]
     rows = [
         (section, rank, terms[i], float(fit.weights[i]))
         for section, order in ((POSITIVE_TERMS, falling), (NEGATIVE_TERMS, rising))

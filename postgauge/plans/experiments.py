@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from postgauge.config import Settings
 from postgauge.functions.keys import run_id as run_id_column
-from postgauge.plans.training import train_and_validate
-from postgauge.sources.results import METADATA_FILE, METADATA_SCHEMA, METRICS_FILE, read_run_summary
+from postgauge.plans.training import SharedFeatures, train_and_validate
+from postgauge.sources.results import (
+    METADATA_FILE,
+    METADATA_SCHEMA,
+    METRICS_FILE,
+    read_run_summary,
+    write_table,
+)
 
 
 def utc_now() -> str:
@@ -33,15 +40,21 @@ def run_experiment(
     run: str | None = None,
     input_path: str = "",
     with_model: bool = True,
+    shared: Callable[[], SharedFeatures] | None = None,
 ) -> DataFrame:
-    """One run: fit, evaluate and write its tables; a failure is recorded, then raised."""
+    """One run: fit, evaluate and write its tables; a failure is recorded, then raised.
+
+    ``shared`` gives the features when several runs use them; failing to make them is a
+    failure of the run.
+    """
     spark = posts.sparkSession
     started, clock = utc_now(), time.perf_counter()
     run = run or make_run_id(spark, experiment, settings.classifier, settings.features, started)
     folder = f"{base}/{run}"
     error: Exception | None = None
     try:
-        train_and_validate(posts, settings).write(folder, with_model)
+        features = shared() if shared else None
+        train_and_validate(posts, settings, features).write(folder, with_model)
     except Exception as failure:  # noqa: BLE001 - whatever failed belongs in the record
         error = failure
     record = Row(
@@ -81,16 +94,38 @@ def run_grid(
     run: str | None = None,
     with_model: bool = True,
 ) -> tuple[DataFrame, list[tuple[str, str, str]]]:
-    """All pairs in turn; returns the rebuilt run summary and the failures."""
+    """All pairs in turn; returns the rebuilt run summary and the failures.
+
+    The pairs of one feature configuration share its split, vocabulary and vectors. The
+    summary is also written, as CSV and as JSON.
+    """
     if run and len(pairs) > 1:
         raise ValueError("a run name fits a single pair only")
     failures = []
+    made: dict[str, SharedFeatures] = {}
+
+    def features_of(chosen: Settings) -> SharedFeatures:
+        if chosen.features not in made:
+            made[chosen.features] = SharedFeatures(posts, chosen)
+        return made[chosen.features]
+
     for classifier, features in pairs:
         try:
             chosen = settings.with_pair(classifier, features)
-            run_experiment(posts, chosen, base, experiment, run, with_model=with_model)
+            run_experiment(
+                posts,
+                chosen,
+                base,
+                experiment,
+                run,
+                with_model=with_model,
+                shared=partial(features_of, chosen),
+            )
         except Exception as failure:  # noqa: BLE001 - recorded with its pair
             if not continue_on_error:
                 raise
             failures.append((classifier, features, str(failure)))
-    return read_run_summary(posts.sparkSession, base), failures
+    summary = read_run_summary(posts.sparkSession, base)
+    for kind in ("csv", "json"):
+        write_table(summary, f"{base}/run_summary.{kind}", kind)
+    return summary, failures

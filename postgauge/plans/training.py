@@ -53,6 +53,24 @@ def fit_model(train: DataFrame, settings: Settings) -> FittedModel:
     return FittedModel(features, fit_classifier(vectors, "tfidf", settings))
 
 
+class SharedFeatures:
+    """Split, vocabulary and training vectors of one feature configuration, made once.
+
+    All classifiers of a grid fit on the same stored vectors.
+    """
+
+    def __init__(self, posts: DataFrame, settings: Settings):
+        self.split = split_by_user(posts, settings.validation_size, settings.random_state)
+        self.quality = settle(split_quality(self.split.tag(posts)))
+        docs = settle(normalized(self.split.train(posts)).select(NORMALIZED, TARGET))
+        self.features = fit_tfidf(docs, settings.feature_spec)
+        self.vectors = settle(self.features.transform(docs).select("tfidf", TARGET))
+
+    def fit(self, settings: Settings) -> FittedModel:
+        size = len(self.features.terms)
+        return FittedModel(self.features, fit_classifier(self.vectors, "tfidf", settings, size))
+
+
 @dataclass(frozen=True)
 class Outcome:
     """Result tables of a flow."""
@@ -86,12 +104,16 @@ def _outcome(model: FittedModel, posts: DataFrame, split: str | None, **tables)
     return Outcome(model, predictions.drop("raw"), metrics, explained, **tables)
 
 
-def train_and_validate(posts: DataFrame, settings: Settings = Settings()) -> Outcome:
-    """Split by user, fit on one side, evaluate on the other."""
-    split = split_by_user(posts, settings.validation_size, settings.random_state)
-    model = fit_model(normalized(split.train(posts)), settings)
-    quality = split_quality(split.tag(posts))
-    return _outcome(model, split.validation(posts), VALIDATION_SPLIT, diagnosis=quality)
+def train_and_validate(
+    posts: DataFrame, settings: Settings = Settings(), shared: SharedFeatures | None = None
+) -> Outcome:
+    """Split by user, fit on one side, evaluate on the other.
+
+    ``shared`` holds the features when several classifiers use them.
+    """
+    shared = shared or SharedFeatures(posts, settings)
+    held_out = shared.split.validation(posts)
+    return _outcome(shared.fit(settings), held_out, VALIDATION_SPLIT, diagnosis=shared.quality)
 
 
 def evaluate_stored(posts: DataFrame, model_path: str) -> Outcome:

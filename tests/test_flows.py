@@ -142,3 +142,17 @@ def test_combined_methods_keep_the_last_row(spark):
     assert rows["c"].protocol_auc == 0.3 and rows["c"].error_count == 5 and rows["d"].error_count is None
     with pytest.raises(ValueError):
         comparison.combine_methods([])
+
+
+def test_cross_validation_of_posts_is_written(spark, posts, tmp_path):
+    from postgauge.plans.cross_validation import cross_validate_posts
+
+    path = str(tmp_path / "cv")
+    pairs = [("complement_nb", "word_unigram"), ("multinomial_nb", "word_unigram")]
+    done = cross_validate_posts(posts, pairs, 3, CNB, path)
+    assert done.folds.count() == 6 and done.summary.count() == 2 and done.best.count() == 1
+    users = spark.read.parquet(f"{path}/fold_assignment")
+    assert users.count() == posts.select("user_id").distinct().count()
+    rows = spark.read.option("header", True).csv(f"{path}/fold_results").collect()
+    assert len(rows) == 6 and all(r.user_overlap_count == "0" for r in rows)
+    assert spark.read.json(f"{path}/best.json").first().classifier_name in ("complement_nb", "multinomial_nb")

@@ -134,6 +134,19 @@ def _run_key(sketch: Column, at: Column, length: int) -> Column:
     return F.xxhash64(F.lit(length), *(F.get(sketch, at + j) for j in range(length)))
 
 
+def _longer(held: str, sketch: str, length: int) -> Column:
+    """The held places of a sketch with the keys of the longer runs that start there."""
+    return F.transform(
+        held,
+        lambda h: F.struct(
+            h["at"].alias("at"),
+            h["leader"].alias("leader"),
+            h["m"].alias("m"),
+            _run_key(sketch, h["at"], length).alias("key"),
+        ),
+    )
+
+
 def _alike(a: Column, b: Column) -> Column:
     """Set sizes that allow a similarity of 0.8."""
     return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
@@ -217,12 +230,13 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         if level:
             fits = F.col("at") + length <= F.least("n", F.lit(SKETCH))
             pairs.append(_led(long_rows.filter(~fits)))
+            held = F.collect_list(F.struct("at", "leader", "m")).alias("held")
             rows = (
                 long_rows.filter(fits)
-                .select("node", "n", "at", "leader", "m")
+                .groupBy("node", "n")
+                .agg(held)
                 .join(classes.select("node", "sketch"), "node")
-                .withColumn("key", _run_key("sketch", F.col("at"), length))
-                .drop("sketch")
+                .select("node", "n", F.inline(_longer("held", "sketch", length)))
             )
         counts = rows.groupBy("key").agg(F.count("*").alias("listed")).filter("listed > 1")
         shared = settle(rows.join(counts, "key", "left" if level else "inner"))

@@ -16,10 +16,12 @@ passage many texts share, is split by longer runs, and a member whose longer run
 shares, or that has none, is compared with the leader of the last long list it was in. First
 all members are compared with leaders only, which is linear in the lists, and the links give
 components. Then the pairs of a short list that are still in different components are
-compared too; a pair inside a component needs no link of its own. Lists still long at the
-longest run are groups of near copies: members outside such a list's main component are
-compared with all members outside their own. Overlap of the union sketch (its share of
-common values, 0.5 or more) filters candidates; links are confirmed on full sets.
+compared too; a pair inside a component needs no link of its own. Last, all members of long
+lists are listed once more, by the rarest values of their sketches: a link needs so many
+common values that one of them is among the rarest of both. In these lists, whatever their
+length, members outside the main component are compared with all members of other
+components, so no pair is left out because a list is long. Overlap of the union sketch (its
+share of common values, 0.5 or more) filters candidates; links are confirmed on full sets.
 
 Components come from alternating star contraction of the confirmed links; every step is a
 join or a combinable minimum, and no list, link or component is gathered on the driver.
@@ -33,6 +35,7 @@ the id and the text are read. One text must fit a task.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -213,8 +216,8 @@ def _pairs_of_lists(rows: DataFrame) -> DataFrame:
 
 
 def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs of members and leaders, and the rows (key, node, n) of short and of long lists."""
-    pairs, short = [_small_pairs(classes)], []
+    """Pairs of members and leaders, rows (key, node, n) of short lists, nodes of long lists."""
+    pairs, short, deep = [_small_pairs(classes)], [], None
     at = F.sequence(F.lit(0), F.size("sketch") - RUNS[0])
     rows = classes.filter("n >= 5").select(
         "node",
@@ -246,6 +249,7 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         short.append(shared.filter(F.col("listed") <= LIST).select("key", "node", "n"))
         pairs.append(_stars_of_lists(short[-1]))
         long_rows = shared.filter(F.col("listed") > LIST)
+        deep = long_rows.select("node").distinct() if deep is None else deep
         if long_rows.isEmpty():
             break
         leaders = long_rows.groupBy("key").agg(_leader().alias("least"))
@@ -255,7 +259,7 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     else:
         pairs.append(_led(long_rows))
     led = reduce(DataFrame.union, pairs).distinct()
-    return led, reduce(DataFrame.union, short), long_rows.select("key", "node", "n")
+    return led, reduce(DataFrame.union, short), deep
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -369,24 +373,53 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     )
 
 
-def _outside_pairs(long_rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """In lists still long: members outside the list's main component with those of others."""
-    rows = _rooted(long_rows, roots)
-    main = (
+def _rare_values(classes: DataFrame) -> DataFrame:
+    """(key, node, n): the rarest values of each sketch, of which every link shares one.
+
+    A pair that passes the union-sketch filter and the confirmation has ``needed`` values in
+    common, so in one order of all values (by frequency) the first common one is among the
+    first ``size - needed + 1`` of both. Values nobody shares take places but make no row.
+    """
+    values = classes.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("key"))
+    counts = values.groupBy("key").agg(F.count("*").alias("listed"))
+    # Sets below 52 shingles only link with sets that fit their sketch: the overlap is exact.
+    needed = F.when(F.col("n") < 52, F.ceil((4 * F.col("n")) / 5)).otherwise(
+        F.lit(math.ceil(ESTIMATE * SKETCH))
+    )
+    return (
+        values.join(counts, "key")
+        .groupBy("node", "n", "size")
+        .agg(F.array_sort(F.collect_list(F.struct("listed", "key"))).alias("held"))
+        .select("node", "n", F.inline(F.slice("held", 1, (F.col("size") - needed + 1).cast("int"))))
+        .filter("listed > 1")
+        .select("key", "node", "n")
+    )
+
+
+def _outside_pairs(rows: DataFrame) -> DataFrame:
+    """Members outside a list's main component with alike members of other components.
+
+    A pair inside a component needs no link; lists of one component are left out first.
+    """
+    mixed = settle(
         rows.groupBy("key", "root")
         .agg(F.count("*").alias("c"))
         .groupBy("key")
-        .agg(F.max(F.struct("c", "root")).alias("most"))
+        .agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("most"))
+        .filter("roots > 1")
         .select("key", F.col("most.root").alias("main"))
     )
+    rows = rows.filter(maybe_among(mixed.select("key"))(F.col("key")))
     outside = (
-        rows.join(main, "key")
+        rows.join(mixed, "key")
         .filter("root != main")
-        .select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+        .select("key", "main", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
     )
+    # A pair of two outside members comes up twice; it is made from its smaller root.
+    once = (F.col("rx") < F.col("root")) | (F.col("root") == F.col("main"))
     return (
         outside.join(rows, "key")
-        .filter((F.col("rx") != F.col("root")) & _alike(F.col("nx"), F.col("n")))
+        .filter((F.col("rx") != F.col("root")) & once & _alike(F.col("nx"), F.col("n")))
         .select(*_ordered(F.col("x"), F.col("node")))
         .distinct()
     )
@@ -416,15 +449,18 @@ def near_duplicates(
         sets = settle(_full_sets(likely, classes, docs, width, id_column, text))
         return settle(_confirmed(likely, sets))
 
-    led, short, long_rows = _candidates(classes)
+    led, short, deep = _candidates(classes)
     links = confirmed(led)
     roots = components(links)
-    rest = _pairs_of_lists(_rooted(short, roots))
-    if not long_rows.isEmpty():
-        rest = rest.union(_outside_pairs(long_rows, roots))
-    rest = settle(rest.distinct())
+    rest = settle(_pairs_of_lists(_rooted(short, roots)).distinct())
     if not rest.isEmpty():
-        roots = components(links.union(confirmed(rest)))
+        links = settle(links.union(confirmed(rest)))
+        roots = components(links)
+    if not deep.isEmpty():
+        members = classes.join(deep, "node", "left_semi")
+        rest = settle(_outside_pairs(settle(_rooted(_rare_values(members), roots))))
+        if not rest.isEmpty():
+            roots = components(links.union(confirmed(rest)))
     rooted = classes.join(roots, "node", "left").select(
         "set_key", "first_id", F.coalesce("root", "node").alias("root")
     )

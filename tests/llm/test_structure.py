@@ -190,3 +190,27 @@ def test_pipeline_stages_against_brute_force(spark):
     assert {r.doc_id: r.text for r in hidden.collect()} == shown
     last = stages["token_ids"](spark, hidden, sf).collect()
     assert sorted(r.doc_id for r in last) == sorted(shown) and all(r.decodes and len(r.ids) == r.n_tokens for r in last)
+
+
+def test_family_of_scattered_edits_in_long_lists(spark):
+    """Near copies that share their runs only in lists longer than ``LIST``, with long runs cut by edits."""
+    rows = scattered_families(random.Random(12))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(docs, 2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == sorted(
+        (i, least) for i, _, least in brute_components(rows, 2)
+    )
+
+
+def scattered_families(draw, families=6, size=150):
+    """Texts of 41 words, each a base without two of the copies' edits in common, base left out."""
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows = []
+    for _ in range(families):
+        base = draw.sample(vocabulary, 41)
+        for _ in range(size):
+            words = list(base)
+            for at in draw.sample(range(41), draw.choice([1, 2, 2, 2])):
+                words[at] = draw.choice(vocabulary)
+            rows.append((len(rows), " ".join(words)))
+    return rows

@@ -1,8 +1,8 @@
 """Corpus pipeline: quality rules, near-duplicates, benchmark leaks, secrets, token ids.
 
 Every stage takes (spark, docs, sf_dir), works on all its predecessor kept and returns the
-columns of ``documents``, the last one the token ids. Rows without an id are never removed
-as duplicates or leaks, as no id names them.
+columns of ``documents``, the last one the token ids. Stages decide row by row, whether an id
+is missing or repeated or not.
 """
 
 from __future__ import annotations
@@ -26,13 +26,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group at similarity 0.8 or more in shingles of five words."""
-    return neardup.one_per_group(docs, width=5)
+    """One row of each group at similarity 0.8 or more in shingles of five words."""
+    return neardup.one_row_per_group(docs, width=5)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window of ten words."""
-    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return leaks.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

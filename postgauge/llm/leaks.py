@@ -15,7 +15,8 @@ each block, so a large benchmark costs passes and not memory.
 
 Defined cases: a null text has no words, an item without words no windows. An item without
 id counts under the empty string, items that repeat an id count once. Rows that repeat a
-document id, or have none, get a result each. Empty tables give an empty result or no hits.
+document id, or have none, get a result each; ``clean_rows`` decides by row, ``without_leaks``
+by id. Empty tables give an empty result or no hits.
 Only ids and texts are read. One text must fit a task.
 """
 
@@ -25,8 +26,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from postgauge.llm.common import ALNUM, Words, text_slices, without_ids
 from postgauge.session import settle
@@ -201,7 +203,8 @@ def scan_shard(
 def _scan(frame: DataFrame, windows: Windows, window: int, keep_text: bool) -> DataFrame:
     """One pass: adds what this block finds to ``spans`` and ``items``."""
     sent = frame.sparkSession.sparkContext.broadcast(windows)
-    schema = f"row struct<doc_id:long>, {'text string, ' if keep_text else ''}n_words long, {_SPANS}"
+    rest = StructType.fromDDL(f"{'text string, ' if keep_text else ''}n_words long, {_SPANS}")
+    schema = StructType([frame.schema["row"], *rest])
     names = ["row", *(["text"] if keep_text else []), "n_words", "spans", "items"]
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -256,8 +259,23 @@ def find_leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """Per document: doc_id, n_words, spans (merged word ranges that are hit) and items."""
+    row = F.struct(F.col(id_column).cast("long").alias("doc_id"))
+    found = _scanned(docs, row, benchmark, window, item_column, text, item_text)
+    return found.select("row.doc_id", "n_words", "spans", "items")
+
+
+def _scanned(
+    docs: DataFrame,
+    row: Column,
+    benchmark: DataFrame,
+    window: int,
+    item_column: str,
+    text: str,
+    item_text: str,
+) -> DataFrame:
+    """``row`` of every document with n_words, spans and items over all blocks."""
     frame = docs.select(
-        F.struct(F.col(id_column).cast("long").alias("doc_id")).alias("row"),
+        row.alias("row"),
         F.col(text).alias("text"),
         F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
@@ -267,8 +285,7 @@ def find_leaks(
         if block is not None:
             frame = settle(_scan(frame, Windows(block, window), window, keep_text=True))
         block = more
-    found = _scan(frame, Windows(block, window), window, keep_text=False)
-    return found.select("row.doc_id", "n_words", "spans", "items")
+    return _scan(frame, Windows(block, window), window, keep_text=False)
 
 
 def leak_digests(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -291,3 +308,19 @@ def without_leaks(
     found = find_leaks(docs, benchmark, id_column=id_column, **options)
     hit = found.filter("size(spans) > 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
     return without_ids(docs, settle(hit), id_column)
+
+
+def clean_rows(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    item_column: str = "item_id",
+    text: str = "text",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows without any window, with their own columns; ids decide nothing.
+
+    Each row goes through the scan as a struct, so no join is needed afterwards.
+    """
+    found = _scanned(docs, F.struct(*docs.columns), benchmark, window, item_column, text, item_text)
+    return found.filter("size(spans) = 0").select("row.*")

@@ -28,7 +28,8 @@ join or a combinable minimum, and no list, link or component is gathered on the
 
 Defined cases: texts without words are empty sets, linked with nothing. A null id belongs to
 the component of its text but never names it; a component of null ids only has a null id.
-Rows that repeat an id are kept or dropped alike. An empty table gives an empty result. Only
+Rows that repeat an id are kept or dropped alike by ``one_per_group``, which decides by id;
+``one_row_per_group`` decides by row and leaves one of each component. An empty table gives an empty result. Only
 the id and the text are read. One text must fit a task.
 """
 
@@ -425,13 +426,10 @@ def _outside_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 5, id_column: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept (doc_id = component_id) and set_key.
-
-    ``set_key`` names the class of rows with the same set of shingles.
-    """
+def _rooted_classes(
+    docs: DataFrame, width: int, id_column: str, text: str
+) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and (set_key, first_id, root) of every class with shingles."""
     base = settle(sketches(docs, width, id_column, text))
     classes = settle(
         base.filter("n_shingles > 0")
@@ -461,9 +459,19 @@ def near_duplicates(
         rest = settle(_outside_pairs(settle(_rooted(_rare_values(members), roots))))
         if not rest.isEmpty():
             roots = components(links.union(confirmed(rest)))
-    rooted = classes.join(roots, "node", "left").select(
+    return base, classes.join(roots, "node", "left").select(
         "set_key", "first_id", F.coalesce("root", "node").alias("root")
     )
+
+
+def near_duplicates(
+    docs: DataFrame, width: int = 5, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept (doc_id = component_id) and set_key.
+
+    ``set_key`` names the class of rows with the same set of shingles.
+    """
+    base, rooted = _rooted_classes(docs, width, id_column, text)
     firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(firsts, "root").select("set_key", "component_id")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -487,3 +495,36 @@ def one_per_group(
     found = near_duplicates(docs, width, id_column, text)
     gone = found.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return without_ids(docs, settle(gone), id_column)
+
+
+def one_row_per_group(
+    docs: DataFrame, width: int = 5, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Exactly one row of every component, with its own columns.
+
+    The row with the smallest id (nulls last), then the smallest ``row_key``; of rows equal
+    in both, one. Rows without words are in no component and all stay.
+    """
+    base, rooted = _rooted_classes(docs, width, id_column, text)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))
+    firsts = base.filter("n_shingles > 0").groupBy("set_key").agg(F.min(order).alias("first"))
+    chosen = settle(
+        firsts.join(rooted, "set_key")
+        .groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select("first.row_key")
+    )
+    number = F.col(id_column).cast("long")
+    rows = docs.select(
+        F.xxhash64(number, F.col(text)).alias("row_key"),
+        F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
+        F.struct(*docs.columns).alias("row"),
+    )
+    # Equal rows are combined before the join, so many copies meet no single task.
+    single = (
+        rows.filter(F.col("worded") & maybe_among(chosen)(F.col("row_key")))
+        .groupBy("row_key")
+        .agg(F.first("row").alias("row"))
+        .join(chosen, "row_key", "left_semi")
+    )
+    return rows.filter("NOT worded").select("row.*").union(single.select("row.*"))

@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, neardup, order, shards
+from postgauge.llm import bpe, leaks, neardup, order, shards
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -214,3 +214,28 @@ def scattered_families(draw, families=6, size=150):
                 words[at] = draw.choice(vocabulary)
             rows.append((len(rows), " ".join(words)))
     return rows
+
+
+def test_pipeline_filters_decide_by_row(spark, odd_docs, no_docs):
+    """Null and repeated ids: one row of each group, and leaks go with their own row only."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    text = " ".join(f"w{i}" for i in range(60))
+    leak = "one two three four five six seven eight nine ten"
+    rows = [(None, text, "a"), (None, text, "b"), (3, text, "c"), (3, text, "c"), (None, leak, "d"), (None, leak, "d"), (4, leak + " x y z", "e"), (4, "clean words only", "f"), (None, "", "g"), (None, None, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    single = stages["near_duplicates"](spark, docs, "unused")
+    assert single.columns == docs.columns
+    key = lambda r: (-1 if r[0] is None else r[0], r[1] or "", r[2])
+    wanted = [rows[2], rows[4], rows[6], rows[7], rows[8], rows[9]]
+    found = [tuple(r) for r in single.collect()]
+    assert sorted(found, key=key) == sorted(wanted, key=key)
+    bench = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    clean = leaks.clean_rows(docs, bench)
+    assert clean.schema == docs.schema
+    assert sorted(map(tuple, clean.collect()), key=key) == sorted(rows[:4] + rows[7:], key=key)
+    kept = neardup.one_row_per_group(odd_docs, width=2)
+    assert kept.columns == odd_docs.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10, 11]
+    assert neardup.one_row_per_group(no_docs).count() == leaks.clean_rows(no_docs, bench).count() == 0

@@ -1,7 +1,7 @@
 """Secrets in texts: patterns find candidates, a random forest removes false positives.
 
-Candidates are values assigned to a name that speaks of a secret, strings with the prefix of
-a known credential, private key blocks, and long mixed strings. The forest judges each by its
+Candidates are values assigned to a name that speaks of a secret, passwords in URLs, strings
+with the prefix of a known credential, private key blocks, and long mixed strings. The forest judges each by its
 length, character transitions, dictionary coverage, path, and neighbouring words. It is
 trained on ``labelled_findings``, a bounded set of labelled findings made here from a rule
 and a seed (``FINDINGS``); its few thousand nodes travel with the tasks.
@@ -30,12 +30,10 @@ from pyspark.sql import functions as F
 FINDINGS, SEED, TREES, DEPTH = 4_000, 17, 40, 9
 #: Characters before and after a candidate that its neighbouring words come from.
 NEAR = 48
-#: Characters after an assignment sign within which its value starts and proves long enough.
-FAR = 64
 MARK = "[SECRET]"
 
 # Names of secrets, known credential forms, and words near false positives.
-_NAME = r"(?:api[_-]?key|access[_-]?key|token|secret|passw(?:or)?d|pwd|credential|auth)"
+_NAME = r"(?:key|token|secret|passw(?:or)?d|passphrase|pass(?![a-z])|pwd|credential|auth|signature)"
 DETECTORS = (
     ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"),
     ("cloud_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
@@ -44,8 +42,9 @@ DETECTORS = (
     ("service_key", r"\b(?:sk|pk|rk)[-_](?:live[-_]|test[-_])?[A-Za-z0-9]{16,}"),
     ("map_key", r"\bAIza[0-9A-Za-z_-]{35}"),
     ("web_token", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    ("assigned", rf"(?i:{_NAME})\w*[\"']?\s*(?::=|=>|[:=])\s*[\"']?(?P<value>[^\s\"',;]{{8,}})"),
-    ("mixed", r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z0-9+/_-]*\d)(?=[A-Za-z0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
+    ("url_password", r"://[^\s/@:]*:(?P<value>[^\s/@]+)@"),
+    ("assigned", r"(?::=|=>|[:=])\s*[\"']?(?P<value>[^\s\"',;]{8,})"),
+    ("mixed", r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/_-]*\d)(?=[A-Za-z0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
 )
 #: Strings of which a text must hold one before a detector looks at it.
 NEEDLES = {
@@ -56,6 +55,7 @@ NEEDLES = {
     "service_key": ("sk-", "sk_", "pk-", "pk_", "rk-", "rk_"),
     "map_key": ("AIza",),
     "web_token": ("eyJ",),
+    "url_password": ("://",),
 }
 NAMED = re.compile(_NAME, re.IGNORECASE)
 HARMLESS = re.compile(
@@ -96,17 +96,28 @@ FEATURES = (
 ).split()
 
 
+def _name_before(text: str, sign: int) -> tuple[int, int]:
+    """Where the name left of an assignment sign is, however long and far; empty if there is none."""
+    high = sign
+    while high and text[high - 1].isspace():
+        high -= 1
+    if high and text[high - 1] in "\"'":
+        high -= 1
+    low = high
+    while low and (text[low - 1].isalnum() or text[low - 1] == "_"):
+        low -= 1
+    return low, high
+
+
 def _matches(name: str, pattern: re.Pattern, text: str) -> Iterator[re.Match]:
     """All matches of a detector, looked for only where one can be."""
     if name == "assigned":
         for sign in _SIGN.finditer(text):
-            start = max(0, sign.start() - NEAR)
-            if NAMED.search(text, start, sign.start()):
-                match = pattern.search(text, start, sign.end() + FAR)
-                while match and match.start("value") <= sign.start():
-                    match = pattern.search(text, match.start() + 1, sign.end() + FAR)
+            low, high = _name_before(text, sign.start())
+            if low < high and NAMED.search(text, low, high):
+                match = pattern.match(text, sign.start())
                 if match:
-                    yield pattern.match(text, match.start())
+                    yield match
     elif name == "mixed":
         if _DIGIT.search(text):
             for run in _LONG.finditer(text):
@@ -119,7 +130,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, detector) in order, without overlaps."""
     found = set()
     for rank, (name, pattern) in enumerate(_ALL):
-        group = "value" if name == "assigned" else 0
+        group = "value" if "value" in pattern.groupindex else 0
         for match in _matches(name, pattern, text):
             found.add((match.start(group), -match.end(group), rank, name))
     out, reached = [], 0
@@ -187,9 +198,15 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED) -> list[tuple[str
         return " ".join(made)
 
     def name() -> str:
-        core = draw.choice(["token", "api_key", "secret", "password", "access_key", "auth", "pwd", "credential"])
+        core = draw.choice(["token", "api_key", "secret", "password", "access_key", "auth", "pwd", "credential", "key", "private_key", "encryption_key", "AccountKey", "signature", "passphrase"])
         return draw.choice([core, core.upper(), f"{draw.choice(words)}_{core}"])
 
+    def other() -> str:
+        return draw.choice(["", "export ", "?", "&"]) + draw.choice([str.upper, str.lower])(f"{draw.choice(words)}_{chars(lower, 2, 6)}")
+
+    def url(value: str) -> str:
+        return f"{draw.choice(['postgres', 'https', 'amqp', 'redis', 'mysql'])}://{draw.choice(words)}:{value}@{draw.choice(words)}.{draw.choice(['com', 'local:5432'])}/{draw.choice(words)}"
+
     def given(value: str, key: str) -> str:
         mark = draw.choice(["=", " = ", ": ", ":", "=>"])
         quote = draw.choice(['"', "'", ""])
@@ -202,6 +219,10 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED) -> list[tuple[str
             return given(value, name())
         if kind < 0.5:
             return given(chars(mixed + "!@#$^&*", 10, 24), draw.choice(["password", "passwd", "PASSWORD", "db_password"]))
+        if kind < 0.6:
+            return f"{other()}={draw.choice([chars(mixed, 28, 64), chars(mixed + '+/', 40, 88)])}"
+        if kind < 0.7:
+            return url(draw.choice([chars(mixed, 6, 24), chars(mixed + "!#$^&*", 8, 20), draw.choice(words) + chars(digits, 2, 4)]))
         return draw.choice([
             "AKIA" + chars(lower.upper() + digits, 16, 16), "ghp_" + chars(mixed, 36, 36), "sk-" + chars(mixed, 24, 48),
             "xoxb-" + chars(digits, 10, 12) + "-" + chars(mixed, 24, 24), "AIza" + chars(mixed + "_-", 35, 35), "sk_live_" + chars(mixed, 24, 24),
@@ -209,12 +230,12 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED) -> list[tuple[str
         ])
 
     def harmless() -> str:
-        kind = draw.randrange(9)
+        kind = draw.randrange(11)
         dotted = draw.choice(["_", "-", ""]).join(draw.choice(words).capitalize() for _ in range(draw.randint(3, 7)))
         if kind == 0:
-            return f"{draw.choice(['commit', 'sha256', 'md5', 'hash', 'checksum', 'revision', 'digest'])} {chars('0123456789abcdef', 32, 64)}"
+            return f"{draw.choice(['commit', 'sha256', 'md5', 'hash', 'checksum', 'revision', 'digest'])}{draw.choice([' ', ' ', '=', ': '])}{chars('0123456789abcdef', 32, 64)}"
         if kind == 1:
-            return "uuid " + "-".join(chars("0123456789abcdef", n, n) for n in (8, 4, 4, 4, 12))
+            return draw.choice(["uuid ", "uuid=", "guid: "]) + "-".join(chars("0123456789abcdef", n, n) for n in (8, 4, 4, 4, 12))
         if kind == 2:
             return dotted + str(draw.randint(1, 999))
         if kind == 3:
@@ -227,6 +248,10 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED) -> list[tuple[str
             return "image base64 " + chars(mixed + "+/", 60, 200)
         if kind == 7:
             return "version-" + "-".join([*(str(draw.randint(0, 99)) for _ in range(3)), dotted.lower(), chars(digits, 6, 10)])
+        if kind == 8:
+            return url(draw.choice(["<password>", "${PASSWORD}", "your_password", "xxxxxxxx", "%s", "example"]))
+        if kind == 9:
+            return f"{other()}={draw.choice([dotted, dotted.lower()])}{draw.randint(1, 999)}"
         return given(draw.choice(words) + draw.choice(words) + draw.choice(words), name())
 
     out = []

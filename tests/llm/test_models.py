@@ -80,3 +80,22 @@ def test_secret_forest_and_redaction(odd_docs, no_docs, spark):
     same = secret_scan.redact(odd_docs, forest)
     assert same.columns == odd_docs.columns and same.count() == odd_docs.count()
     assert secret_scan.scan(no_docs, forest).count() == 0
+
+
+def test_secrets_under_other_names_and_in_urls():
+    forest = secret_scan.trained()
+    hexes, base = "04dbebab91ab85687d33eeaaf9ac699e1188f962", "Zk3vQ9xT7bLmW2pRcY8dHs5NfJ4gUa6eKo1iXtVz0qB+/w=="
+    for before, value, after in [
+        ("ENCRYPTION_KEY=", hexes, " on"),
+        ("Name=store;AccountKey=", base, ";x"),
+        ("private_key=", hexes, ""),
+        ("export UPLOAD_XYZ=", base, " then"),
+        ("postgres://admin:", "Tq7xW2pL9v", "@host/db"),
+        ("token" + "_of_a_long_name" * 5 + " = ", hexes, ""),
+        ("secret =" + " " * 80, hexes, ""),
+    ]:
+        text = before + value + after
+        found = [(a, b) for a, b, _, chance in secret_scan.judged(text, "src/app.py", forest) if chance >= 0.5]
+        assert found == [(len(before), len(before) + len(value))], (text, found)
+    for text in [f"commit={hexes}", f"sha256={hexes}", "postgres://user:${PASSWORD}@host/db", "primary_key = customer_order_number"]:
+        assert all(chance < 0.5 for *_, chance in secret_scan.judged(text, "src/app.py", forest)), text

@@ -1,6 +1,9 @@
 """Trained operators: held-out accuracy, and what must not influence a score."""
 
+import math
 import random
+import zlib
+from collections import Counter
 
 from postgauge.llm import html_text, secret_scan, toxicity
 
@@ -99,3 +102,51 @@ def test_secrets_under_other_names_and_in_urls():
         assert found == [(len(before), len(before) + len(value))], (text, found)
     for text in [f"commit={hexes}", f"sha256={hexes}", "postgres://user:${PASSWORD}@host/db", "primary_key = customer_order_number"]:
         assert all(chance < 0.5 for *_, chance in secret_scan.judged(text, "src/app.py", forest)), text
+
+
+def test_toxicity_counts_share_no_cells(spark):
+    """The gain of varied text, where hashed cells of a fixed table would be shared."""
+    draw = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, "".join(draw.choice(letters) for _ in range(4000))) for i in range(400)]
+    marks = [(i, i % 2) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    models = toxicity.learn(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    found = {r.doc_id: r.gain for r in toxicity.raw_scores(docs.filter("doc_id < 20"), models).collect()}
+    pad = [(i, "\0" * 5 + t) for i, t in rows]
+    train = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3)]
+    c = [Counter(pad[i][1][j : j + 6] for i in train if i % 2 == k for j in range(len(rows[i][1]))) for k in (0, 1)]
+    sixes = set(c[0]) | set(c[1])
+    five = [Counter() for _ in range(2)]
+    freed = [Counter() for _ in range(2)]
+    for k in (0, 1):
+        for s, n in c[k].items():
+            five[k][s[:5]] += n
+            freed[k][s[:5]] += min(n, 4)
+    types = Counter(s[:5] for s in sixes)
+    ends = [Counter(s[3:] for s in part) for part in (*c, sixes)]
+    heads = [Counter(), Counter(), Counter()]
+    taken = [Counter(), Counter()]
+    for k in range(3):
+        for t, n in ends[k].items():
+            heads[k][t[:2]] += n
+            if k < 2:
+                taken[k][t[:2]] += min(n, 4)
+
+    def gain(s):
+        h, t = s[:5], s[3:]
+        share = (ends[2][t] + 1 / 64) / (heads[2][t[:2]] + 1)
+        total = five[0][h] + five[1][h]
+        common = max(c[0][s] + c[1][s] - 0.75, 0) / max(total, 1) + (0.75 * types[h] / total if total else 1) * share
+        logs = []
+        for k in (0, 1):
+            n = heads[k][t[:2]]
+            low = max(ends[k][t] - 4, 0) / max(n, 1) + (taken[k][t[:2]] / n if n else 1) * share
+            rest = freed[k][h] / five[k][h] if five[k][h] else 1
+            logs.append(math.log(max(c[k][s] - 4, 0) / max(five[k][h], 1) + rest * common * low / share))
+        return logs[1] - logs[0]
+
+    for i in range(20):
+        size = len(rows[i][1])
+        wanted = sum(gain(pad[i][1][j : j + 6]) for j in range(size)) / size
+        assert abs(found[i] - wanted) < 1e-4, (i, found[i], wanted)

@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import bpe, html_text, leaks, neardup, order, quality, secret_scan, shards, toxicity, warc
+from postgauge.llm import (
+    bpe,
+    conversation,
+    html_text,
+    leaks,
+    neardup,
+    order,
+    quality,
+    secret_scan,
+    shards,
+    spelling,
+    toxicity,
+    warc,
+)
 from postgauge.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -59,6 +72,14 @@ def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.digests(conversation.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_sorted_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_training_order": op1_training_order,
     "op2_kneser_ney": op2_kneser_ney,
@@ -70,6 +91,8 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_crf_blocks": op9_crf_blocks,
     "op10_rule_cascade": op10_rule_cascade,
+    "op11_checkpointed_repair": op11_checkpointed_repair,
+    "op12_sorted_variants": op12_sorted_variants,
 }
 
 _OP10 = r"""

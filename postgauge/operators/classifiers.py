@@ -5,14 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.config import CLASSIFIERS, NAIVE_BAYES, TARGET, Settings
-from postgauge.operators.linear_solver import minimise
+from postgauge.operators.linear_solver import Objective, Problem, minimise_all, packed_rows
 from postgauge.operators.tfidf import entries, scaled, vector_total
 
-WEIGHT = "_weight"
+#: Fits stop once no gradient entry exceeds this share of the largest at the start.
+TOLERANCE = 1e-5
 
 
 @dataclass(frozen=True)
@@ -117,29 +118,82 @@ def fit_classifier(
 
     counts = class_counts(frame)
     size = size or vector_length(frame, vector)
+    problem = iterative_problem(name, counts, settings, size)
+    (solution,) = minimise_all([packed_rows(frame, vector, TARGET)], [problem], tol=TOLERANCE)
+    return LinearFit(name, solution[:-1], float(solution[-1]))
+
+
+def iterative_problem(
+    name: str, counts: tuple[int, int], settings: Settings, size: int, **where
+) -> Problem:
+    """What an iterative classifier minimises, given the class sizes of its training rows.
+
+    ``where`` names the rows: the block set, the fold left out and the scaling.
+    """
+    require_two_classes(counts)
     weights = balanced_weights(counts) if settings.balanced else (1.0, 1.0)
     total = weights[0] * counts[0] + weights[1] * counts[1]
-    weighted = frame.select(
-        vector,
-        F.col(TARGET).cast("double").alias(TARGET),
-        F.when(F.col(TARGET) == 1, weights[1]).otherwise(weights[0]).alias(WEIGHT),
-    )
     objective = {
-        "logistic_regression": ("logistic", settings.logistic_c, 1.0, settings.logistic_max_iter),
-        "sgd_logistic": ("logistic", 1.0 / total, settings.sgd_alpha, settings.sgd_max_iter),
-        "linear_svm": ("squared_hinge", settings.svm_c, 1.0, settings.svm_max_iter),
-    }
-    loss, factor, penalty, max_iter = objective[name]
-    solution = minimise(
-        weighted,
+        "logistic_regression": Objective("logistic", settings.logistic_c, 1.0, False, settings.logistic_max_iter),
+        "sgd_logistic": Objective("logistic", 1.0 / total, settings.sgd_alpha, False, settings.sgd_max_iter),
+        "linear_svm": Objective("squared_hinge", settings.svm_c, 1.0, True, settings.svm_max_iter),
+    }[name]
+    return Problem(part=where.pop("part", 0), size=size, objective=objective, weights=weights, **where)
+
+
+def optimality(frame: DataFrame, vector: str, fit: LinearFit, settings: Settings) -> DataFrame:
+    """One row that proves or disproves a fit: classifier_name, n, count_0, count_1,
+    first_gradient, last_gradient and optimal.
+
+    The gradients at the start and at the fit come from one aggregate of its own over the
+    unfolded vectors, which shares nothing with the solver; only the weights are handed in,
+    a table as long as the vocabulary.
+    """
+    spark = frame.sparkSession
+    counts = class_counts(frame)
+    problem = iterative_problem(fit.classifier, counts, settings, len(fit.weights))
+    goal = problem.objective
+    sign = F.when(F.col(TARGET) == 1, 1.0).otherwise(-1.0)
+    weight = F.when(F.col(TARGET) == 1, problem.weights[1]).otherwise(problem.weights[0])
+
+    def slope(margin) -> Column:
+        if goal.loss == "logistic":
+            return -sign / (1.0 + F.exp(sign * margin))
+        return -2.0 * sign * F.greatest(F.lit(0.0), 1.0 - sign * margin)
+
+    weighted = scaled(frame.select(vector, TARGET), vector, "_part", fit.weights)
+    margin = vector_total(F.col("_part")) + F.lit(float(fit.intercept))
+    pulled = weighted.select(
         vector,
-        TARGET,
-        WEIGHT,
-        size=size,
-        loss=loss,
-        factor=factor,
-        penalty=penalty,
-        penalise_intercept=name == "linear_svm",
-        max_iter=max_iter,
+        (weight * slope(F.lit(0.0))).alias("first"),
+        (weight * slope(margin)).alias("last"),
+    )
+    constant = pulled.agg(F.sum("first").alias("first"), F.sum("last").alias("last")).select(
+        F.lit(len(fit.weights)).alias("idx"), "first", "last"
+    )
+    pulls = (
+        entries(pulled, vector, ["first", "last"], "x")
+        .groupBy("idx")
+        .agg(F.sum(F.col("x") * F.col("first")).alias("first"), F.sum(F.col("x") * F.col("last")).alias("last"))
+        .unionByName(constant)
+    )
+    solution = [*map(float, fit.weights), float(fit.intercept)]
+    shrunk = [goal.penalty * w for w in solution]
+    if not goal.penalise_intercept:
+        shrunk[-1] = 0.0
+    own = spark.createDataFrame(list(enumerate(shrunk)), "idx int, shrunk double")
+    largest = own.join(pulls, "idx", "left").agg(
+        F.max(F.abs(goal.factor * F.coalesce("first", F.lit(0.0)))).alias("first_gradient"),
+        F.max(F.abs(F.col("shrunk") + goal.factor * F.coalesce("last", F.lit(0.0)))).alias("last_gradient"),
+    )
+    # The sums are added in another order here, which moves the last digits.
+    good = F.col("last_gradient") <= 1.01 * TOLERANCE * F.col("first_gradient") + 1e-12
+    return largest.select(
+        F.lit(fit.classifier).alias("classifier_name"),
+        F.lit(sum(counts)).cast("long").alias("n"),
+        F.lit(counts[0]).cast("long").alias("count_0"),
+        F.lit(counts[1]).cast("long").alias("count_1"),
+        "first_gradient",
+        "last_gradient",
+        good.alias("optimal"),
     )
-    return LinearFit(name, solution[:-1], float(solution[-1]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
@@ -12,7 +12,14 @@ from pyspark.sql import types as T
 
 from postgauge.config import DENSE_CLASSIFIERS, TARGET, TEXT_ID, Settings, choose
 from postgauge.functions.text import truncate
-from postgauge.operators.classifiers import LinearFit, fit_classifier
+from postgauge.operators.classifiers import (
+    TOLERANCE,
+    LinearFit,
+    class_counts,
+    iterative_problem,
+    vector_length,
+)
+from postgauge.operators.linear_solver import minimise_all, packed_rows
 from postgauge.operators.terms import NORMALIZED
 from postgauge.session import settle
 
@@ -86,8 +93,18 @@ def dense_vectors(frame: DataFrame) -> DataFrame:
     return frame.withColumn("vector", array_to_vector(F.col("embedding").cast("array<double>")))
 
 
+def fit_all_dense(
+    train: DataFrame, classifiers: Sequence[str], settings: Settings = Settings()
+) -> list[LinearFit]:
+    """Classifiers over the ``embedding`` and target columns, solved in the same passes."""
+    names = [choose(name, DENSE_CLASSIFIERS, "embedding classifier")[0] for name in classifiers]
+    vectors = settle(dense_vectors(train).select("vector", TARGET))
+    counts, size = class_counts(vectors), vector_length(vectors, "vector")
+    problems = [iterative_problem(name, counts, settings, size) for name in names]
+    solved = minimise_all([packed_rows(vectors, "vector", TARGET)], problems, tol=TOLERANCE)
+    return [LinearFit(n, x[:-1], float(x[-1])) for n, x in zip(names, solved, strict=True)]
+
+
 def fit_dense(train: DataFrame, classifier: str, settings: Settings = Settings()) -> LinearFit:
-    """A classifier over the ``embedding`` and target columns."""
-    (name,) = choose(classifier, DENSE_CLASSIFIERS, "embedding classifier")
-    fitted = dense_vectors(train).select("vector", TARGET)
-    return fit_classifier(fitted, "vector", settings.with_pair(name, settings.features))
+    """One classifier over the ``embedding`` and target columns."""
+    return fit_all_dense(train, [classifier], settings)[0]

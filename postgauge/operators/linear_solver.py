@@ -1,15 +1,19 @@
-"""Convex linear objectives solved over distributed row blocks.
+"""Convex linear objectives solved over distributed row blocks, any number of them at once.
 
 The library's linear SVM minimises the plain hinge loss, a different model, and its
 logistic regression rescales every column by its deviation, which makes rare TF-IDF
-terms converge very slowly. Here each evaluation is one pass over cached row blocks:
-tasks return a gradient of fixed length and a tree reduction adds them, so the driver
-only ever sees vectors as long as the vocabulary.
+terms converge very slowly. Here a problem is solved by truncated Newton steps: conjugate
+gradients ask for products of the curvature with a direction, a line search for losses and
+gradients. All problems that are not finished put their question to the same pass over the
+cached blocks, so a grid of classifiers and folds needs as many passes as its slowest member.
+A task answers with vectors as long as the vocabulary, a tree reduction adds them, and the
+driver only ever sees these.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,162 +21,251 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-HISTORY = 10
 #: Stored values of a block, about; a block holds whole rows.
 BLOCK_VALUES = 500_000
-BLOCK_SCHEMA = "starts binary, idx binary, val binary, y binary, weight binary"
+BLOCK_SCHEMA = "starts binary, idx binary, val binary, y binary, fold binary"
+#: Largest share of the gradient that conjugate gradients may leave, and their most steps.
+FORCING = 0.3
+MAX_INNER = 200
+#: Rows that belong to no fold.
+NO_FOLD = 0
+
+
+@dataclass(frozen=True)
+class Objective:
+    """``penalty/2`` times the squared norm plus ``factor`` times the weighted loss."""
+
+    loss: str
+    factor: float
+    penalty: float
+    penalise_intercept: bool
+    max_iter: int
+
+
+@dataclass(frozen=True)
+class Problem:
+    """An objective over the rows of one block set outside one fold.
+
+    ``part`` names the block set, ``weights`` are those of class 0 and 1. If ``scale`` is
+    given, it names factors of the columns; rows are multiplied by them and brought to unit length.
+    """
+
+    part: int
+    size: int
+    objective: Objective
+    weights: tuple[float, float]
+    held_out: int = NO_FOLD
+    scale: int | None = None
 
 
 def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed blocks of about ``BLOCK_VALUES`` values: compressed sparse rows as raw bytes."""
+    held, values = [], 0
     for batch in batches:
         lengths = np.diff(batch.column("vals").offsets.to_numpy())
-        block = np.cumsum(lengths) // BLOCK_VALUES
-        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(lengths)]
-        for start, end in zip(cuts, cuts[1:], strict=False):
-            if start < end:
-                yield _packed(batch.slice(start, end - start), lengths[start:end])
+        start = 0
+        for end in _cuts(lengths, values):
+            held.append(batch.slice(start, end - start))
+            yield _packed(held)
+            held, values, start = [], 0, end
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+            values += int(lengths[start:].sum())
+    if held:
+        yield _packed(held)
+
+
+def _cuts(lengths: np.ndarray, before: int) -> list[int]:
+    """Row numbers where a block is full, if ``before`` values are held already."""
+    filled = (before + np.cumsum(lengths)) // BLOCK_VALUES
+    return (np.flatnonzero(np.diff(filled, prepend=0)) + 1).tolist()
 
 
-def _packed(rows: pa.RecordBatch, lengths: np.ndarray) -> pa.RecordBatch:
+def _packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    lengths = rows.column("vals").combine_chunks().value_lengths().to_numpy()
     columns = [
         np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
-        rows.column("indices").flatten().to_numpy(zero_copy_only=False).astype(np.int32),
-        rows.column("vals").flatten().to_numpy(zero_copy_only=False).astype(np.float64),
-        np.where(rows.column("y").to_numpy(zero_copy_only=False) > 0, 1.0, -1.0),
-        rows.column("weight").to_numpy(zero_copy_only=False).astype(np.float64),
+        rows.column("indices").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int32),
+        rows.column("vals").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64),
+        np.where(rows.column("y").to_numpy() > 0, 1.0, -1.0),
+        rows.column("fold").to_numpy().astype(np.int32),
     ]
     return pa.RecordBatch.from_arrays(
         [pa.array([c.tobytes()], pa.binary()) for c in columns],
-        names=["starts", "idx", "val", "y", "weight"],
+        names=["starts", "idx", "val", "y", "fold"],
     )
 
 
-def _unpack(block: tuple[bytes, ...]) -> tuple[np.ndarray, ...]:
-    starts = np.frombuffer(block[0], np.int64)
-    rows = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    idx = np.frombuffer(block[1], np.int32)
-    val, y, weight = (np.frombuffer(b, np.float64) for b in block[2:])
-    return rows, idx, val, y, weight
-
-
-def squared_hinge(y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Loss per row and its derivative with respect to the margin."""
+def squared_hinge(y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Loss per row, its derivative by the margin and its curvature."""
     slack = np.maximum(0.0, 1.0 - y * margin)
-    return slack * slack, -2.0 * slack * y
+    return slack * slack, -2.0 * slack * y, 2.0 * (slack > 0)
 
 
-def logistic(y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Loss per row and its derivative with respect to the margin."""
+def logistic(y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Loss per row, its derivative by the margin and its curvature."""
     agreement = y * margin
-    return np.logaddexp(0.0, -agreement), -y * np.exp(-np.logaddexp(0.0, agreement))
+    wrong = np.exp(-np.logaddexp(0.0, agreement))
+    return np.logaddexp(0.0, -agreement), -y * wrong, wrong * (1.0 - wrong)
 
 
 LOSSES = {"squared_hinge": squared_hinge, "logistic": logistic}
 
 
-def _loss_and_gradient(blocks, solution: np.ndarray, loss: str) -> np.ndarray:
-    """Loss followed by the gradient, summed over unpacked blocks."""
-    total = np.zeros(len(solution) + 1)
-    for rows, idx, val, y, weight in blocks:
-        margin = np.bincount(rows, val * solution[idx], len(y)) + solution[-1]
-        value, slope = LOSSES[loss](y, margin)
-        pull = weight * slope
-        total[0] += float(weight @ value)
-        total[1:-1] += np.bincount(idx, val * pull[rows], len(solution) - 1)
-        total[-1] += pull.sum()
-    return total
-
-
-def _direction(gradient: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Limited-memory quasi-Newton step."""
-    q = gradient.copy()
-    stack = []
-    for s, g in reversed(pairs):
-        rho = 1.0 / (g @ s)
-        a = rho * (s @ q)
-        q -= a * g
-        stack.append((rho, a, s, g))
-    if pairs:
-        s, g = pairs[-1]
-        q *= (s @ g) / (g @ g)
-    for rho, a, s, g in reversed(stack):
-        q += (a - rho * (g @ q)) * s
-    return -q
-
-
-def minimise(
-    frame: DataFrame,
-    vector: str,
-    label: str,
-    weight: str,
-    size: int,
-    loss: str,
-    factor: float,
-    penalty: float,
-    penalise_intercept: bool,
-    max_iter: int,
-    tol: float = 1e-5,
-) -> np.ndarray:
-    """Weights followed by the intercept.
+class _Block:
+    """One unpacked block; rows scaled in one way are kept for all problems that want them."""
 
-    ``size`` is the length of the vectors. Minimises ``penalty/2`` times the squared norm plus
-    ``factor`` times the weighted loss, until no gradient entry exceeds ``tol`` times the
-    largest first one. Every evaluation is one pass over the cached blocks.
-    """
+    def __init__(self, packed: tuple[bytes, ...]):
+        self.starts = np.frombuffer(packed[0], np.int64)
+        self.rows = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+        self.idx = np.frombuffer(packed[1], np.int32)
+        self.val, self.y = (np.frombuffer(b, np.float64) for b in packed[2:4])
+        self.fold = np.frombuffer(packed[4], np.int32)
+        self._scaled: dict[int | None, np.ndarray] = {None: self.val}
+
+    def values(self, scale: int | None, scales: Sequence[np.ndarray]) -> np.ndarray:
+        if scale not in self._scaled:
+            raised = self.val * scales[scale][self.idx]
+            norms = np.sqrt(np.bincount(self.rows, raised * raised, len(self.y)))
+            self._scaled[scale] = raised / np.where(norms > 0, norms, 1.0)[self.rows]
+        return self._scaled[scale]
+
+    def answer(self, problem: Problem, question: tuple, scales: Sequence[np.ndarray]) -> np.ndarray:
+        """Loss and gradient at a point, or zero and a curvature product; sums over the rows."""
+        point, direction = question
+        val = self.values(problem.scale, scales)
+        weight = np.where(self.y > 0, problem.weights[1], problem.weights[0])
+        if problem.held_out != NO_FOLD:
+            weight = weight * (self.fold != problem.held_out)
+        value, slope, bend = LOSSES[problem.objective.loss](self.y, self._times(val, point))
+        out = np.zeros(problem.size + 2)
+        if direction is None:
+            out[0] = weight @ value
+            pull = weight * slope
+        else:
+            pull = weight * bend * self._times(val, direction)
+        out[1:-1] = np.bincount(self.idx, val * pull[self.rows], problem.size)
+        out[-1] = pull.sum()
+        return out
+
+    def _times(self, val: np.ndarray, vector: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, val * vector[self.idx], len(self.y)) + vector[-1]
+
+
+def _answers(problems, scales, questions, parts) -> dict[int, np.ndarray]:
+    """Answers of a partition to every question about its block sets."""
+    totals: dict[int, np.ndarray] = {}
+    for part, *packed in parts:
+        block = _Block(packed)
+        for number, question in questions.items():
+            if problems[number].part == part:
+                found = block.answer(problems[number], question, scales)
+                totals[number] = totals[number] + found if number in totals else found
+    return totals
+
+
+def _added(a: dict[int, np.ndarray], b: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    return a | {k: a[k] + v if k in a else v for k, v in b.items()}
+
+
+def newton(problem: Problem, tol: float) -> Generator[tuple, np.ndarray, np.ndarray]:
+    """Truncated Newton steps; yields (point, direction or None) and gets the sums sent."""
+    goal = problem.objective
+    shrink = np.full(problem.size + 1, goal.penalty)
+    if not goal.penalise_intercept:
+        shrink[-1] = 0.0
+    x = np.zeros(problem.size + 1)
+
+    def at(point: np.ndarray, sums: np.ndarray) -> tuple[float, np.ndarray]:
+        value = 0.5 * float(shrink @ (point * point)) + goal.factor * float(sums[0])
+        return value, shrink * point + goal.factor * sums[1:]
+
+    loss, gradient = at(x, (yield x, None))
+    first, limit = np.linalg.norm(gradient), tol * float(np.abs(gradient).max())
+    for _ in range(goal.max_iter):
+        norm = np.linalg.norm(gradient)
+        if np.abs(gradient).max() <= limit:
+            break
+        enough = min(FORCING, float(np.sqrt(norm / first))) * norm
+        step, rest = np.zeros_like(x), -gradient
+        way, square = rest.copy(), rest @ rest
+        for _ in range(MAX_INNER):
+            bent = shrink * way + goal.factor * (yield x, way)[1:]
+            curve = way @ bent
+            if curve <= 0:
+                break
+            step += square / curve * way
+            rest = rest - square / curve * bent
+            before, square = square, rest @ rest
+            if np.sqrt(square) <= enough:
+                break
+            way = rest + square / before * way
+        slope, length = float(gradient @ step), 1.0
+        while True:
+            trial = x + length * step
+            trial_loss, trial_gradient = at(trial, (yield trial, None))
+            if trial_loss <= loss + 1e-4 * length * slope or length < 1e-12:
+                break
+            length *= 0.5
+        if trial_loss >= loss:
+            break
+        x, loss, gradient = trial, trial_loss, trial_gradient
+    return x
+
+
+def packed_rows(frame: DataFrame, vector: str, label: str, fold: str | None = None) -> DataFrame:
+    """Rows of sparse or dense vectors as blocks, in their partitions."""
     inner = F.unwrap_udt(F.col(vector))
     values = inner.getField("values")
     sparse = inner.getField("type") == 0
     places = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.size(values) - 1))
-    packed = frame.select(
+    held = F.col(fold).cast("int") if fold else F.lit(NO_FOLD)
+    return frame.select(
         F.coalesce(
             F.when(sparse, inner.getField("indices")).otherwise(places),
             F.array().cast("array<int>"),
         ).alias("indices"),
         values.alias("vals"),
         F.col(label).cast("double").alias("y"),
-        F.col(weight).cast("double").alias("weight"),
+        held.alias("fold"),
     ).mapInArrow(_pack_blocks, BLOCK_SCHEMA)
-    shrink = np.full(size + 1, penalty)
-    if not penalise_intercept:
-        shrink[-1] = 0.0
-    cached = packed.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def evaluate(solution: np.ndarray) -> tuple[float, np.ndarray]:
-        shared = cached.context.broadcast(solution)
-        total = cached.mapPartitions(
-            lambda part: [_loss_and_gradient(map(_unpack, part), shared.value, loss)]
-        ).treeReduce(np.add)
-        shared.unpersist()
-        value = 0.5 * float(shrink @ (solution * solution)) + factor * float(total[0])
-        return value, shrink * solution + factor * total[1:]
 
+def minimise_all(
+    blocks: Sequence[DataFrame],
+    problems: Sequence[Problem],
+    scales: Sequence[np.ndarray] = (),
+    tol: float = 1e-5,
+) -> list[np.ndarray]:
+    """Weights followed by the intercept, for every problem.
+
+    ``blocks`` are block sets of ``packed_rows``. Each problem ends once no gradient entry
+    exceeds ``tol`` times the largest first one.
+    """
+    context = blocks[0].sparkSession.sparkContext
+    tagged = [b.rdd.map(lambda row, part=part: (part, *row)) for part, b in enumerate(blocks)]
+    cached = context.union(tagged).persist(StorageLevel.MEMORY_AND_DISK)
+    fixed = context.broadcast((list(problems), [np.asarray(s) for s in scales]))
+    solvers = [newton(problem, tol) for problem in problems]
+    questions = {number: next(solver) for number, solver in enumerate(solvers)}
+    solved: dict[int, np.ndarray] = {}
     try:
-        return _quasi_newton(evaluate, np.zeros(size + 1), max_iter, tol)
+        while questions:
+            asked = context.broadcast(questions)
+            answers = cached.mapPartitions(
+                lambda part, asked=asked: [_answers(*fixed.value, asked.value, part)]
+            ).treeReduce(_added)
+            asked.unpersist()
+            ahead = {}
+            for number in questions:
+                nothing = np.zeros(problems[number].size + 2)
+                try:
+                    ahead[number] = solvers[number].send(answers.get(number, nothing))
+                except StopIteration as done:
+                    solved[number] = done.value
+            questions = ahead
     finally:
         cached.unpersist()
-
-
-def _quasi_newton(evaluate, solution: np.ndarray, max_iter: int, tol: float) -> np.ndarray:
-    loss, gradient = evaluate(solution)
-    limit = tol * float(np.abs(gradient).max())
-    pairs: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(max_iter):
-        if np.abs(gradient).max() <= limit:
-            break
-        step = _direction(gradient, pairs)
-        slope = float(gradient @ step)
-        length = 1.0 if pairs else 1.0 / float(np.sqrt(gradient @ gradient))
-        while True:
-            trial = solution + length * step
-            trial_loss, trial_gradient = evaluate(trial)
-            if trial_loss <= loss + 1e-4 * length * slope or length < 1e-12:
-                break
-            length *= 0.5
-        if trial_loss >= loss:
-            break
-        moved, turned = trial - solution, trial_gradient - gradient
-        if moved @ turned > 1e-12 * (turned @ turned):
-            pairs = [*pairs[-(HISTORY - 1) :], (moved, turned)]
-        solution, loss, gradient = trial, trial_loss, trial_gradient
-    return solution
+        fixed.unpersist()
+    return [solved[number] for number in range(len(problems))]

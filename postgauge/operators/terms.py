@@ -22,62 +22,114 @@ def term_occurrences(docs: DataFrame, spec: FeatureSpec, keys: Sequence[str]) ->
     )
 
 
-def _partial_counts(docs: DataFrame, spec: FeatureSpec, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``(term, df, tf)`` to be added up; repetition is found inside the row, so
-    no document is ever regrouped.
+#: Marks of rows that are no term: a counted document, and a padded word to be cut up.
+DOCUMENT, WORD = 0, -1
 
-    Words are read once and unfolded together. Character n-grams of the corpus are cut
-    from counted words, because the same words return in every text.
-    """
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
-    def part(term: Column, df: Column, tf: Column) -> Column:
-        return F.struct(term.alias("term"), df.alias("df"), tf.alias("tf"))
+def _uses(specs: Sequence[FeatureSpec], analyzer: str) -> dict[int, int]:
+    """For every length of n-gram, which configurations use it, as bits."""
+    found: dict[int, int] = {}
+    for bit, spec in enumerate(specs):
+        if spec.analyzer == analyzer:
+            for n in range(spec.min_n, spec.max_n + 1):
+                found[n] = found.get(n, 0) | 1 << bit
+    return found
 
-    if spec.analyzer == "word":
-        found = docs.select(*keys, X.terms(F.col(NORMALIZED), spec).alias("_terms"))
-        both = F.concat(
-            F.transform(F.array_distinct("_terms"), lambda term: part(term, one, none)),
-            F.transform("_terms", lambda term: part(term, none, one)),
-        )
-        return found.select(*keys, F.inline(both))
-
-    documents = docs.select(
-        *keys,
-        F.explode(X.distinct_terms(F.col(NORMALIZED), spec)).alias("term"),
-        one.alias("df"),
-        none.alias("tf"),
-    )
-    words = docs.select(*keys, F.explode(X.padded_words(F.col(NORMALIZED))).alias("word"))
-    corpus = (
-        words.groupBy(*keys, "word")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .select(
-            *keys,
-            F.explode(X.char_ngrams(F.col("word"), spec.min_n, spec.max_n)).alias("term"),
-            none.alias("df"),
-            "tf",
-        )
-    )
-    return documents.unionByName(corpus)
 
+def _counted_parts(docs: DataFrame, specs: Sequence[FeatureSpec], keys: Sequence[str]) -> DataFrame:
+    """Rows of ``(uses, term, df, tf)`` to be added up, from one pass over the text.
 
-def term_statistics(docs: DataFrame, spec: FeatureSpec, folds: int = 0) -> DataFrame:
-    """Document frequency ``df`` and corpus count ``tf`` per term.
+    Repetition is found inside the row, so no document is ever regrouped. Words are read
+    once whatever the configurations. Character n-grams of the corpus are not unfolded
+    here: their words are counted first, because the same words return in every text.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    text = F.col(NORMALIZED)
+    word_uses, char_uses = _uses(specs, "word"), _uses(specs, "char_wb")
+
+    def parts(found: Column, uses: int, df: Column, tf: Column) -> Column:
+        return F.transform(
+            found,
+            lambda term: F.struct(
+                F.lit(uses).alias("uses"), term.alias("term"), df.alias("df"), tf.alias("tf")
+            ),
+        )
 
-    With ``folds`` the result also has ``df_1 .. df_k`` and ``tf_1 .. tf_k`` for the
-    documents whose ``fold`` is that number, so the statistics of any training side
-    are a subtraction. One shuffle on the term carries partial sums only.
+    runs = docs.select(*keys, NORMALIZED, *([X.words(text).alias("_runs_1")] if word_uses else []))
+    longer = [n for n in word_uses if n > 1]
+    runs = runs.select("*", *(X.word_ngrams(F.col("_runs_1"), n, n).alias(f"_runs_{n}") for n in longer))
+    unfolded = [parts(F.array(F.lit("")), DOCUMENT, one, none)]
+    for n, uses in word_uses.items():
+        column = F.col(f"_runs_{n}")
+        unfolded += [parts(F.array_distinct(column), uses, one, none), parts(column, uses, none, one)]
+    padded = F.concat(F.lit(" "), text, F.lit(" "))
+    by_uses: dict[int, list[int]] = {}
+    for n, uses in char_uses.items():
+        by_uses.setdefault(uses, []).append(n)
+    for uses, lengths in by_uses.items():
+        grams = F.concat(*(X.char_ngrams(padded, n, n) for n in lengths))
+        unfolded.append(parts(F.array_distinct(grams), uses, one, none))
+    if char_uses:
+        unfolded.append(parts(X.padded_words(text), WORD, none, one))
+    return runs.select(*keys, F.inline(F.concat(*unfolded)))
+
+
+def shared_statistics(docs: DataFrame, specs: Sequence[FeatureSpec], folds: int = 0) -> DataFrame:
+    """Document frequency ``df`` and corpus count ``tf`` of the terms of all configurations.
+
+    One pass over the text and one (uses, term) aggregation serve all; bit i of ``uses``
+    tells that the i-th configuration has the term, and the row with ``uses`` 0 has the
+    number of documents as its df. With ``folds`` the result also has ``df_1 .. df_k`` and
+    ``tf_1 .. tf_k`` for the documents whose ``fold`` is that number, so the statistics of any
+    training side are a subtraction. Counted words are cut into character n-grams after
+    the aggregation; only these, and what reaches the smallest ``min_df``, are added up once more.
     """
     keys = ["fold"] if folds else []
-    parts = _partial_counts(docs, spec, keys)
     sums: list[Column] = [F.sum("df").alias("df"), F.sum("tf").alias("tf")]
     for fold in range(1, folds + 1):
         inside = F.col("fold") == fold
         sums += [
             F.sum(F.when(inside, F.col(c)).otherwise(0)).alias(f"{c}_{fold}") for c in ("df", "tf")
         ]
-    return parts.groupBy("term").agg(*sums)
+    counted = _counted_parts(docs, specs, keys).groupBy("uses", "term").agg(*sums)
+    char_uses = _uses(specs, "char_wb")
+    if not char_uses:
+        return counted
+    numbers = [c for c in counted.columns if c not in ("uses", "term")]
+
+    def row(uses: Column, term: Column) -> Column:
+        return F.struct(uses.alias("uses"), term.alias("term"), *(F.col(c).alias(c) for c in numbers))
+
+    def cut_up(n: int, uses: int) -> Column:
+        return F.transform(X.char_ngrams(F.col("term"), n, n), lambda term: row(F.lit(uses), term))
+
+    cut = F.concat(*(cut_up(n, uses) for n, uses in char_uses.items()))
+    least = min(spec.min_df for spec in specs)
+    is_char = F.col("uses").isin(*set(char_uses.values()))
+    wanted = (F.col("uses") <= 0) | is_char | (F.col("df") >= least)
+    rows = F.when(F.col("uses") == WORD, cut).otherwise(F.array(row(F.col("uses"), F.col("term"))))
+    return (
+        counted.where(wanted)
+        .select(F.inline(rows))
+        .groupBy("uses", "term")
+        .agg(*(F.sum(c).alias(c) for c in numbers))
+    )
+
+
+def of_spec(stats: DataFrame, bit: int) -> DataFrame:
+    """The terms of one configuration among shared statistics."""
+    return stats.where((F.col("uses") > 0) & (F.col("uses").bitwiseAND(1 << bit) != 0)).drop("uses")
+
+
+def counted_documents(stats: DataFrame) -> int:
+    """Number of documents that shared statistics come from."""
+    row = stats.where(F.col("uses") == DOCUMENT).select("df").first()
+    return row["df"] if row else 0
+
+
+def term_statistics(docs: DataFrame, spec: FeatureSpec, folds: int = 0) -> DataFrame:
+    """Statistics of the terms of one configuration, rare ones included."""
+    return of_spec(shared_statistics(docs, [spec], folds), 0)
 
 
 def kept_terms(stats: DataFrame, spec: FeatureSpec, n_docs: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,11 +14,14 @@ from pyspark.sql import functions as F
 from postgauge.config import FeatureSpec
 from postgauge.functions import text as X
 from postgauge.operators.terms import (
+    DOCUMENT,
     NORMALIZED,
     check_limits,
+    counted_documents,
     kept_terms,
     most_frequent,
-    term_statistics,
+    of_spec,
+    shared_statistics,
 )
 from postgauge.session import settle
 
@@ -99,22 +103,36 @@ class TfidfModel:
 
 
 def entries(frame: DataFrame, vector: str, keys: list[str], value: str = "tfidf") -> DataFrame:
-    """Unfold a sparse vector column to ``(keys, idx, value)`` rows; empty vectors vanish."""
+    """Unfold a vector column to ``(keys, idx, value)`` rows; empty vectors vanish."""
     inner = F.unwrap_udt(F.col(vector))
-    pairs = F.arrays_zip(inner.getField("indices").alias("i"), inner.getField("values").alias("v"))
+    values = inner.getField("values")
+    dense = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.size(values) - 1))
+    places = F.when(inner.getField("type") == 0, inner.getField("indices")).otherwise(dense)
+    pairs = F.arrays_zip(places.alias("i"), values.alias("v"))
     unfolded = frame.select(*keys, F.explode(pairs).alias("_pair"))
     return unfolded.select(
         *keys, F.col("_pair.i").alias("idx"), F.col("_pair.v").alias(value)
     )
 
 
+def fit_all_tfidf(docs: DataFrame, specs: Sequence[FeatureSpec]) -> list[TfidfModel]:
+    """The vocabularies of several configurations from one pass over the documents."""
+    least = min(spec.min_df for spec in specs)
+    shared = shared_statistics(docs, specs)
+    stats = settle(shared.where((F.col("uses") == DOCUMENT) | (F.col("df") >= least)))
+    n_docs = counted_documents(stats)
+    for spec in specs:
+        check_limits(spec, n_docs)
+    models = []
+    for bit, spec in enumerate(specs):
+        kept = kept_terms(of_spec(stats, bit), spec, n_docs)
+        models.append(model_from_rows(most_frequent(kept, spec.max_features).collect(), spec, n_docs))
+    return models
+
+
 def fit_tfidf(docs: DataFrame, spec: FeatureSpec) -> TfidfModel:
     """Choose the vocabulary of the training documents (column ``normalized``)."""
-    n_docs = docs.count()
-    check_limits(spec, n_docs)
-    frequent = term_statistics(docs, spec).where(F.col("df") >= spec.min_df)
-    kept = kept_terms(settle(frequent), spec, n_docs)
-    return model_from_rows(most_frequent(kept, spec.max_features).collect(), spec, n_docs)
+    return fit_all_tfidf(docs, [spec])[0]
 
 
 def model_from_rows(rows: list, spec: FeatureSpec, n_docs: int) -> TfidfModel:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postgauge.config import DENSE_CLASSIFIERS, TARGET, AnswerSettings, Settings, choose
 from postgauge.operators.answers import CELL, Provider, classify
 from postgauge.operators.comparison import answer_rows, embedding_rows
-from postgauge.operators.embeddings import dense_vectors, fit_dense
+from postgauge.operators.embeddings import dense_vectors, fit_all_dense
 from postgauge.operators.metrics import evaluate, gated_metrics
 from postgauge.operators.predictions import fold_prediction_table
 from postgauge.operators.splitting import few_shot_examples, require_examples
@@ -28,16 +28,15 @@ def embedding_predictions(
     """Predictions of the chosen dense classifiers, tagged by ``classifier``."""
     vectors = dense_vectors(test)
     parts = []
-    for name in choose(classifier, DENSE_CLASSIFIERS, "embedding classifier"):
-        scored = fit_dense(train, name, settings).score(vectors, "vector")
-        table = fold_prediction_table(scored, include_truth)
-        parts.append(table.withColumn("classifier", F.lit(name)))
+    for fit in fit_all_dense(train, choose(classifier, DENSE_CLASSIFIERS, "embedding classifier"), settings):
+        table = fold_prediction_table(fit.score(vectors, "vector"), include_truth)
+        parts.append(table.withColumn("classifier", F.lit(fit.classifier)))
     return reduce(DataFrame.unionByName, parts)
 
 
 def embedding_matrix(train: DataFrame, test: DataFrame, classifier: str = "all") -> DataFrame:
     """One comparison row per dense classifier, scored in a single grouped job."""
-    predictions = settle(embedding_predictions(settle(train.select("embedding", TARGET)), test, classifier))
+    predictions = settle(embedding_predictions(train, test, classifier))
     return embedding_rows(evaluate(predictions, ["classifier"]))
 
 

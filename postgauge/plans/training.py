@@ -43,14 +43,12 @@ def fit_model(train: DataFrame, settings: Settings) -> FittedModel:
     """Vocabulary, vectors and classifier from training posts (``normalized``, ``y``).
 
     The text is tokenised twice: once to count terms and once for the compact vectors,
-    which are stored because iterative classifiers read them many times.
+    which are stored because every classifier reads them several times.
     """
     docs = train.select(NORMALIZED, TARGET)
     features = fit_tfidf(docs, settings.feature_spec)
-    vectors = features.transform(docs).select("tfidf", TARGET)
-    if settings.classifier not in ("multinomial_nb", "complement_nb"):
-        vectors = settle(vectors)
-    return FittedModel(features, fit_classifier(vectors, "tfidf", settings))
+    vectors = settle(features.transform(docs).select("tfidf", TARGET))
+    return FittedModel(features, fit_classifier(vectors, "tfidf", settings, len(features.terms)))
 
 
 class SharedFeatures:

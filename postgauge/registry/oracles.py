@@ -474,6 +474,32 @@ SELECT text_id, term, count(*) AS tf FROM occ GROUP BY text_id, term""",
     "word_bigram_vocab": vocabulary_query("word2", 20_000),
     "word_trigram_vocab": vocabulary_query("word3", 30_000),
     "char_wb_vocab": vocabulary_query("char", 40_000),
+    "shared_vocabularies": " UNION ALL ".join(
+        f"SELECT term, df, tf, '{name}' AS feature_config_name FROM ({vocabulary_query(kind, limit)})"
+        for name, kind, limit in (
+            ("word_unigram", "word1", 20_000), ("word_unigram_bigram", "word2", 20_000),
+            ("word_unigram_trigram", "word3", 30_000), ("char_wb_3_5", "char", 40_000),
+        )
+    ),
+    **{
+        f"{short}_optimality": f"""WITH {SPLIT} SELECT '{name}' AS classifier_name, count(*) AS n,
+          count(*) FILTER (y = 0) AS count_0, count(*) FILTER (y = 1) AS count_1, true AS optimal FROM train"""
+        for short, name in (("lr", "logistic_regression"), ("svm", "linear_svm"), ("sgd", "sgd_logistic"))
+    },
+    "embedding_optimality": """WITH users AS (
+        SELECT user_id, row_number() OVER (ORDER BY md5('42:' || user_id)) AS place, count(*) OVER () AS n
+        FROM (SELECT DISTINCT CAST(vec_id % 50 AS VARCHAR) AS user_id FROM embeddings)),
+      train AS (SELECT CAST(label >= 5 AS INTEGER) AS y FROM embeddings JOIN users
+        ON user_id = CAST(vec_id % 50 AS VARCHAR) WHERE place > ceil(CAST(0.2 AS DOUBLE) * n))
+      SELECT name AS classifier_name, count(*) AS n, count(*) FILTER (y = 0) AS count_0,
+        count(*) FILTER (y = 1) AS count_1, true AS optimal
+      FROM train, (VALUES ('logistic_regression'), ('linear_svm'), ('sgd_logistic')) c(name) GROUP BY name""",
+    "cv_grid_shape": f"""WITH {POSTS}, pairs AS (
+        SELECT c AS classifier_name, f AS feature_config_name FROM unnest({CLASSIFIER_LIST}) a(c),
+          unnest(['word_unigram', 'word_unigram_bigram', 'word_unigram_trigram', 'char_wb_3_5']) b(f))
+      SELECT classifier_name, feature_config_name, CAST(3 AS BIGINT) AS folds, count(*) AS validation_rows,
+        2 * count(*) AS train_rows, CAST(0 AS BIGINT) AS overlap, CAST(sum(y) AS BIGINT) AS positives
+      FROM pool, pairs GROUP BY ALL""",
     "tfidf_idf": f"WITH {SPLIT},{vocabulary('train')} SELECT term, df, tf, round(idf, 6) AS idf FROM idf",
     "tfidf_vectors": f"""WITH {SPLIT},{vocabulary("train")},{weighted("train", "wt")}
 SELECT text_id, term, round(v, 6) AS tfidf FROM wt""",

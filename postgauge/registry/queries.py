@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postgauge.config import (
+    DENSE_CLASSIFIERS,
     FEATURES,
     TARGET,
     TEXT,
@@ -16,6 +18,7 @@ from postgauge.config import (
     USER,
     VALIDATION_SPLIT,
     Settings,
+    grid_pairs,
 )
 from postgauge.functions import text as X
 from postgauge.functions.answers import evidence_json
@@ -24,9 +27,19 @@ from postgauge.functions.labels import answer_label, binary_flag
 from postgauge.functions.prompts import few_shot_prompt, zero_shot_prompt
 from postgauge.operators import answers, comparison, curves, embeddings, explain, metrics
 from postgauge.operators import selection, splitting, tracking
-from postgauge.operators.classifiers import balanced_weights, class_counts
+from postgauge.operators.classifiers import balanced_weights, class_counts, fit_classifier, optimality
 from postgauge.operators.predictions import fold_prediction_table, prediction_table
-from postgauge.operators.terms import NORMALIZED, kept_terms, most_frequent, term_occurrences, term_statistics
+from postgauge.operators.terms import (
+    DOCUMENT,
+    NORMALIZED,
+    counted_documents,
+    kept_terms,
+    most_frequent,
+    of_spec,
+    shared_statistics,
+    term_occurrences,
+    term_statistics,
+)
 from postgauge.operators.tfidf import entries, fit_tfidf
 from postgauge.plans.cross_validation import cross_validate
 from postgauge.plans.matrices import answer_matrix, embedding_matrix, embedding_predictions
@@ -126,14 +139,31 @@ def term_frequencies(spark, sf_dir):
 
 def _vocabulary(name: str) -> Query:
     def query(spark, sf_dir):
-        docs = A.posts(spark, sf_dir)
-        spec = FEATURES[name]
-        frequent = settle(term_statistics(docs, spec).where(F.col("df") >= spec.min_df))
-        return most_frequent(kept_terms(frequent, spec, docs.count()), spec.max_features)
+        return _vocabularies(spark, sf_dir, [name])[0]
 
     return query
 
 
+def _vocabularies(spark: SparkSession, sf_dir: str, names: list[str]) -> list[DataFrame]:
+    """Vocabularies of all posts from one pass over the text."""
+    specs = [FEATURES[name] for name in names]
+    shared = shared_statistics(A.posts(spark, sf_dir), specs)
+    least = min(spec.min_df for spec in specs)
+    stats = settle(shared.where((F.col("uses") == DOCUMENT) | (F.col("df") >= least)))
+    n_docs = counted_documents(stats)
+    return [
+        most_frequent(kept_terms(of_spec(stats, bit), spec, n_docs), spec.max_features)
+        for bit, spec in enumerate(specs)
+    ]
+
+
+def shared_vocabularies(spark, sf_dir):
+    """The vocabularies of all feature configurations, their text read once."""
+    found = _vocabularies(spark, sf_dir, list(FEATURES))
+    named = [v.withColumn("feature_config_name", F.lit(n)) for n, v in zip(FEATURES, found, strict=True)]
+    return reduce(DataFrame.unionByName, named)
+
+
 def tfidf_idf(spark, sf_dir):
     train, _ = _sides(spark, sf_dir)
     model = fit_tfidf(train, FEATURES["word_unigram"])
@@ -249,6 +279,34 @@ def _predictions(classifier: str, features: str = "word_unigram") -> Query:
     return query
 
 
+PROOF = ("classifier_name", "n", "count_0", "count_1", "optimal")
+
+
+def _optimality(classifier: str) -> Query:
+    """Whether a fit on word unigrams is at its optimum, from a gradient computed apart."""
+
+    def query(spark, sf_dir):
+        train, _ = _sides(spark, sf_dir)
+        settings = Settings().with_pair(classifier, "word_unigram")
+        features = fit_tfidf(train, settings.feature_spec)
+        vectors = settle(features.transform(train).select("tfidf", TARGET))
+        fit = fit_classifier(vectors, "tfidf", settings, len(features.terms))
+        return optimality(vectors, "tfidf", fit, settings).select(*PROOF)
+
+    return query
+
+
+def embedding_optimality(spark, sf_dir):
+    """The same proof for the dense classifiers, all fitted in the same passes."""
+    train, _ = _embedding_sides(spark, sf_dir)
+    vectors = settle(embeddings.dense_vectors(train).select("vector", TARGET))
+    found = []
+    for fit in embeddings.fit_all_dense(train, DENSE_CLASSIFIERS):
+        settings = Settings().with_pair(fit.classifier, Settings().features)
+        found.append(optimality(vectors, "vector", fit, settings).select(*PROOF))
+    return reduce(DataFrame.unionByName, found)
+
+
 def conversation_predictions(spark, sf_dir):
     """A fitted model applied to texts that never had labels."""
     model, _ = _fitted(spark, sf_dir, "complement_nb", "word_unigram")
@@ -354,18 +412,30 @@ def cv_nb_folds(spark, sf_dir):
     return rounded(_folds(spark, sf_dir), *metrics.METRICS)
 
 
-def cv_grid_folds(spark, sf_dir):
-    """Three classifiers over the library's own stratified folds and two feature sets."""
+def _grid_folds(spark, sf_dir, pairs) -> DataFrame:
+    """Pairs over three of the library's own stratified folds."""
     labelled = settle(A.pool(spark, sf_dir).select(TEXT_ID, USER, TARGET, NORMALIZED))
     tagged = splitting.tag_folds(labelled, splitting.assign_folds(labelled, 3, A.SEED))
-    pairs = [
-        (classifier, features)
-        for classifier in ("logistic_regression", "complement_nb")
-        for features in ("word_unigram", "char_wb_3_5")
-    ]
     return cross_validate(settle(tagged), pairs, 3)
 
 
+def cv_grid_folds(spark, sf_dir):
+    """All classifiers with all feature sets, the iterative ones solved together."""
+    return _grid_folds(spark, sf_dir, grid_pairs())
+
+
+def cv_grid_shape(spark, sf_dir):
+    """What SQL can tell of the grid: every pair on every fold, and the rows of both sides."""
+    folds = settle(cv_grid_folds(spark, sf_dir))
+    return folds.groupBy("classifier_name", "feature_config_name").agg(
+        F.count("fold").alias("folds"),
+        F.sum("validation_rows").alias("validation_rows"),
+        F.sum("train_rows").alias("train_rows"),
+        F.sum("user_overlap_count").alias("overlap"),
+        F.sum(F.col("true_positive") + F.col("false_negative")).cast("long").alias("positives"),
+    )
+
+
 def _summary_stats() -> list[str]:
     return [c for c in selection.SUMMARY_CV_COLUMNS if c.startswith(("mean_", "std_"))]
 
@@ -547,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "word_bigram_vocab": _vocabulary("word_unigram_bigram"),
     "word_trigram_vocab": _vocabulary("word_unigram_trigram"),
     "char_wb_vocab": _vocabulary("char_wb_3_5"),
+    "shared_vocabularies": shared_vocabularies,
     "tfidf_idf": tfidf_idf,
     "tfidf_vectors": tfidf_vectors,
     "tfidf_transform": tfidf_transform,
@@ -566,6 +637,10 @@ QUERIES: dict[str, Query] = {
     "lr_predictions": _predictions("logistic_regression"),
     "svm_predictions": _predictions("linear_svm"),
     "sgd_predictions": _predictions("sgd_logistic"),
+    "lr_optimality": _optimality("logistic_regression"),
+    "svm_optimality": _optimality("linear_svm"),
+    "sgd_optimality": _optimality("sgd_logistic"),
+    "embedding_optimality": embedding_optimality,
     "conversation_predictions": conversation_predictions,
     "embedding_lr": _embedding("logistic_regression"),
     "embedding_svm": _embedding("linear_svm"),
@@ -581,6 +656,7 @@ QUERIES: dict[str, Query] = {
     "prediction_counts": prediction_counts,
     "cv_nb_folds": cv_nb_folds,
     "cv_grid_folds": cv_grid_folds,
+    "cv_grid_shape": cv_grid_shape,
     "cv_summary": cv_summary,
     "cv_best": cv_best,
     "fold_summary": fold_summary,

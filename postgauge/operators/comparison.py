@@ -18,7 +18,7 @@ METHOD_METRICS = ("protocol_auc", "roc_auc", "recall", "precision", "f1")
 SINGLE_METHODS = {
     "baseline": ("phase2b_baseline", "tfidf_char_wb_3_5", "complement_nb"),
     "embeddings": ("phase3_embeddings", "ollama_nomic_embed_text", "logistic_regression"),
-    "answers": ("phase3_llm_zero_shot", "ollama_qwen2_5_3b_instruct", "zero_shot_prompt"),
+    "answers": ("phase3_llm_zero_shot", "ollama_qwen2.5_3b_instruct", "zero_shot_prompt"),
 }
 EMBEDDING_REPRESENTATION = "ollama_nomic_embed_text"
 

@@ -246,6 +246,9 @@ def minimise_all(
     context = blocks[0].sparkSession.sparkContext
     tagged = [b.rdd.map(lambda row, part=part: (part, *row)) for part, b in enumerate(blocks)]
     cached = context.union(tagged).persist(StorageLevel.MEMORY_AND_DISK)
+    # A task gets about a block of values at least: below that, starting it takes longer.
+    values = cached.map(lambda block: len(block[2]) // 4).sum()
+    shared = cached.coalesce(max(1, min(cached.getNumPartitions(), -(-values // BLOCK_VALUES))))
     fixed = context.broadcast((list(problems), [np.asarray(s) for s in scales]))
     solvers = [newton(problem, tol) for problem in problems]
     questions = {number: next(solver) for number, solver in enumerate(solvers)}
@@ -253,7 +256,7 @@ def minimise_all(
     try:
         while questions:
             asked = context.broadcast(questions)
-            answers = cached.mapPartitions(
+            answers = shared.mapPartitions(
                 lambda part, asked=asked: [_answers(*fixed.value, asked.value, part)]
             ).treeReduce(_added)
             asked.unpersist()

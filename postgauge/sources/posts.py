@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from postgauge.config import LABEL, TARGET, TEXT, TEXT_ID, TITLE, USER
 from postgauge.functions.labels import decode_label
+from postgauge.sources.split_csv import csv_records
 
 # CSV cells that mean "missing".
 MISSING_CELLS = (
@@ -64,38 +65,54 @@ def prepare_posts(frame: DataFrame, require_label: bool = True, check: bool = Tr
     return decode_labels(fill_text(frame), check)
 
 
+_CSV = {"quote": '"', "escape": '"', "multiLine": "true"}
+
+
 def read_csv_columns(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, split: bool = True
 ) -> DataFrame:
     """Quoted, multi-line CSV as text columns with missing cells as null.
 
     Columns are matched by the header; only the wanted ones are kept. A row with a cell
-    beyond the header is an error.
+    beyond the header is an error. Files are read by byte range unless ``split`` is off: then
+    a file is one task, and quotes inside unquoted cells are text.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-    )
-    header = reader.csv(path).columns
-    fields = [T.StructField(name, T.StringType()) for name in (*header, BEYOND)]
-    raw = reader.option("columnPruning", False).schema(T.StructType(fields)).csv(path)
-    whole = raw.where(
+    whole_file = spark.read.options(**_CSV, header="true", encoding="UTF-8")
+    if split:
+        records, text = csv_records(spark, path)
+        if not text:
+            raise ValueError(f"no header in {path}")
+        line = spark.createDataFrame([(text,)], "record string")
+        width = text.count(",") + 1
+        cells = line.select(F.from_csv("record", _row_schema(f"c{i}" for i in range(width)), _CSV).alias("r"))
+        header = [c for c in cells.first()["r"] if c is not None]
+        parsed = records.select(F.from_csv("record", _row_schema((*header, BEYOND)), _CSV).alias("r"))
+        raw = parsed.select("r.*")
+    else:
+        header = whole_file.csv(path).columns
+        fields = [T.StructField(name, T.StringType()) for name in (*header, BEYOND)]
+        raw = whole_file.option("columnPruning", False).schema(T.StructType(fields)).csv(path)
+    complete = raw.where(
         F.when(F.col(BEYOND).isNull(), True).otherwise(
             F.raise_error(F.lit(f"a row of {path} has more cells than the header"))
         )
     )
     names = [c for c in header if columns is None or c in columns]
-    return whole.select(
+    return complete.select(
         *(F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in names)
     )
 
 
-def read_raw_posts(spark: SparkSession, path: str) -> DataFrame:
-    """User, title, body and label as stored, for counting missing values."""
-    return read_csv_columns(spark, path, (USER, TITLE, TEXT, LABEL))
+def _row_schema(names: Iterable[str]) -> str:
+    return ", ".join(f"`{name}` string" for name in names)
+
+
+def read_raw_posts(spark: SparkSession, path: str, with_id: bool = False) -> DataFrame:
+    """User, title, body and label as stored, for counting missing values.
+
+    ``with_id`` keeps the post id too, which a test fold needs.
+    """
+    return read_csv_columns(spark, path, (USER, *([TEXT_ID] if with_id else []), TITLE, TEXT, LABEL))
 
 
 def read_posts_csv(spark: SparkSession, path: str, require_label: bool = True) -> DataFrame:
@@ -103,5 +120,5 @@ def read_posts_csv(spark: SparkSession, path: str, require_label: bool = True) -
 
 
 def read_posts_parquet(spark: SparkSession, path: str, require_label: bool = True) -> DataFrame:
-    """The splittable form; one multi-line CSV file is always a single task."""
+    """The columnar form; it needs no pass over the file to find the records."""
     return prepare_posts(spark.read.parquet(path), require_label)

@@ -20,6 +20,7 @@ from postgauge.operators.classifiers import (
     vector_length,
 )
 from postgauge.operators.linear_solver import minimise_all, packed_rows
+from postgauge.operators.providers import BatchProvider, Limits, batched, call_all
 from postgauge.operators.terms import NORMALIZED
 from postgauge.session import settle
 
@@ -54,26 +55,36 @@ def check_vectors(cache: DataFrame) -> DataFrame:
     return cache
 
 
-def _embed(provider: EmbeddingProvider, model: str):
+def _embed(provider: BatchProvider, model: str, limits: Limits):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            vectors = [[float(x) for x in provider(model, text)] for text in batch["cut"]]
+            found, failures = call_all(provider, model, batch["cut"].tolist(), limits)
+            failed = [text for text in failures if text is not None]
+            if failed:
+                raise RuntimeError(f"embedding failed: {failed[0]}")
+            vectors = [[float(x) for x in vector] for vector in found]
             yield batch.drop(columns="cut").assign(embedding=vectors)
 
     return run
 
 
 def embed(
-    posts: DataFrame, cache: DataFrame, provider: EmbeddingProvider, model: str, max_chars: int = 6_000
+    posts: DataFrame,
+    cache: DataFrame,
+    provider: EmbeddingProvider | BatchProvider,
+    model: str,
+    max_chars: int = 6_000,
+    limits: Limits | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Posts with an ``embedding`` column, and the rows to append to the stored table.
 
     The provider only sees posts that are not stored yet; all vectors must share one
-    length.
+    length. With ``limits`` it takes many texts at once.
     """
+    many = provider if limits else batched(provider)
     requests = embedding_requests(posts.withColumn(TEXT_ID, F.col(TEXT_ID).cast("string")), model, max_chars)
     missing = cache_misses(requests, check_vectors(cache)).select(*CACHE_KEY, "cut")
-    fresh = settle(missing.dropDuplicates(list(CACHE_KEY)).mapInPandas(_embed(provider, model), CACHE_SCHEMA))
+    fresh = settle(missing.dropDuplicates(list(CACHE_KEY)).mapInPandas(_embed(many, model, limits or Limits()), CACHE_SCHEMA))
     stored = (
         cache.where(F.col("model") == model).groupBy(*CACHE_KEY).agg(F.max("embedding").alias("embedding"))
     )

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postgauge.config import TEXT_ID, USER
-from postgauge.functions.text import fragment
+from postgauge.functions.text import fragment, join_title_text
 from postgauge.operators.classifiers import LinearFit
+from postgauge.session import settle
 
 # Section names and the note of the report.
 POSITIVE_TERMS = "terminos_asociados_a_yes"
@@ -37,46 +38,60 @@ def term_weights(spark: SparkSession, terms: list[str], fit: LinearFit, top_n: i
     return spark.createDataFrame(rows, "section string, rank int, termino string, peso double")
 
 
-def _highest(predictions: DataFrame, section: str, raw_text: Column, limit: int) -> DataFrame:
+def _highest(predictions: DataFrame, section: str, limit: int) -> DataFrame:
     columns = [c for c in ("y_true", "y_pred", "score") if c in predictions.columns]
     top = predictions.orderBy(F.desc("score"), TEXT_ID).limit(limit)
-    return top.select(
-        F.lit(section).alias("section"),
-        TEXT_ID,
-        USER,
-        *columns,
-        fragment(raw_text).alias("fragmento"),
+    return top.select(F.lit(section).alias("section"), TEXT_ID, USER, *columns)
+
+
+def with_fragments(examples: DataFrame, posts: DataFrame) -> DataFrame:
+    """Examples with an excerpt of their post; only then is any text read.
+
+    Examples are a few rows by construction, so they are stored and sent to the posts; a post
+    stored twice gives one excerpt.
+    """
+    chosen = settle(examples)
+    ids = F.broadcast(chosen.select(F.col(TEXT_ID).alias("_id")).distinct())
+    texts = (
+        posts.join(ids, F.col(TEXT_ID).cast("string") == F.col("_id"), "left_semi")
+        .groupBy(F.col(TEXT_ID).cast("string").alias(TEXT_ID))
+        .agg(F.min(fragment(join_title_text())).alias("fragmento"))
     )
+    return chosen.join(texts, TEXT_ID, "left").select(*chosen.columns, "fragmento")
 
 
-def error_examples(predictions: DataFrame, raw_text: Column, limit: int = 5) -> DataFrame:
+def error_examples(predictions: DataFrame, posts: DataFrame, limit: int = 5) -> DataFrame:
     """False negatives and false positives with the highest scores."""
     missed = (F.col("y_true") == 1) & (F.col("y_pred") == 0)
     raised = (F.col("y_true") == 0) & (F.col("y_pred") == 1)
-    return _highest(predictions.where(missed), FALSE_NEGATIVES, raw_text, limit).unionByName(
-        _highest(predictions.where(raised), FALSE_POSITIVES, raw_text, limit)
+    found = _highest(predictions.where(missed), FALSE_NEGATIVES, limit).unionByName(
+        _highest(predictions.where(raised), FALSE_POSITIVES, limit)
     )
+    return with_fragments(found, posts)
 
 
-def high_confidence(predictions: DataFrame, raw_text: Column, limit: int = 5) -> DataFrame:
+def high_confidence(predictions: DataFrame, posts: DataFrame, limit: int = 5) -> DataFrame:
     """Rows with the highest scores, for posts without a label."""
-    return _highest(predictions, HIGH_CONFIDENCE, raw_text, limit)
+    return with_fragments(_highest(predictions, HIGH_CONFIDENCE, limit), posts)
 
 
 def report(
     predictions: DataFrame,
-    raw_text: Column,
+    posts: DataFrame,
     terms: list[str],
     fit: LinearFit,
     top_n: int = 25,
     limit: int = 5,
 ) -> DataFrame:
-    """All sections in one table, with the ethics note on every row."""
+    """All sections in one table, with the ethics note on every row.
+
+    ``predictions`` are narrow; ``posts`` give title and text of the few examples.
+    """
     weights = term_weights(predictions.sparkSession, terms, fit, top_n)
     if "y_true" in predictions.columns:
-        examples = error_examples(predictions, raw_text, limit)
+        examples = error_examples(predictions, posts, limit)
     else:
-        examples = high_confidence(predictions, raw_text, limit)
+        examples = high_confidence(predictions, posts, limit)
     return weights.unionByName(examples, allowMissingColumns=True).withColumn(
         "nota_etica", F.lit(ETHICS_NOTE)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.config import LABEL, TARGET, TEXT, TEXT_ID, TITLE, USER, VALIDATION_SPLIT, Settings
-from postgauge.functions.text import join_title_text, normalized_post
+from postgauge.functions.text import normalized_post
 from postgauge.operators.classifiers import LinearFit, fit_classifier
 from postgauge.operators.explain import report
 from postgauge.operators.metrics import evaluate, metric_record
@@ -81,7 +81,7 @@ class Outcome:
 
     def write(self, path: str, with_model: bool = True) -> None:
         """One folder per table; nested tables as JSON, predictions as CSV."""
-        write_table(self.predictions.drop("raw"), f"{path}/predictions", "csv")
+        write_table(self.predictions, f"{path}/predictions", "csv")
         if self.metrics is not None:
             write_table(metric_record(self.metrics).coalesce(1), f"{path}/metrics.json", "json")
         for name in ("report", "diagnosis"):
@@ -94,12 +94,11 @@ class Outcome:
 
 
 def _outcome(model: FittedModel, posts: DataFrame, split: str | None, **tables) -> Outcome:
-    """Score, then evaluate and explain from the stored predictions."""
-    scored = model.score(normalized(posts)).withColumn("raw", join_title_text())
-    predictions = settle(prediction_table(scored, split, keep=("raw",)))
+    """Score, then evaluate and explain from the stored predictions, which hold no text."""
+    predictions = settle(prediction_table(model.score(normalized(posts)), split))
     metrics = evaluate(predictions) if "y_true" in predictions.columns else None
-    explained = report(predictions, F.col("raw"), model.features.terms, model.fit)
-    return Outcome(model, predictions.drop("raw"), metrics, explained, **tables)
+    explained = report(predictions, posts, model.features.terms, model.fit)
+    return Outcome(model, predictions, metrics, explained, **tables)
 
 
 def train_and_validate(

@@ -532,6 +532,34 @@ SELECT (SELECT count(*) FROM pool) AS train_rows, (SELECT count(*) FROM fresh) A
 (SELECT count(DISTINCT user_id) FROM pool) AS unique_train_users,
 (SELECT count(DISTINCT user_id) FROM fresh) AS unique_test_users,
 (SELECT count(*) FROM (SELECT user_id FROM pool INTERSECT SELECT user_id FROM fresh)) AS train_test_user_overlap_count""",
+    "test_fold_labelled": f"""WITH {SPLIT}
+SELECT (SELECT count(*) FROM train) AS train_rows, count(*) AS test_rows,
+count(*) FILTER (title = '') AS missing_title_values, count(*) FILTER (text = '') AS missing_text_values,
+(SELECT count(DISTINCT user_id) FROM train) AS unique_train_users, count(DISTINCT user_id) AS unique_test_users,
+(SELECT count(*) FROM (SELECT user_id FROM train INTERSECT SELECT user_id FROM valid)) AS train_test_user_overlap_count,
+count(*) FILTER (y = 0) AS test_label_no, count(*) FILTER (y = 1) AS test_label_yes FROM valid""",
+    "csv_posts": f"WITH {POSTS} SELECT text_id, user_id, title, text FROM posts",
+    "answer_log": f"""WITH {POSTS}, asked AS (SELECT text_id, length({zero_shot("t")}) AS n FROM norm)
+SELECT text_id, 'gemma3:4b' AS model, 'zero_shot' AS prompt_mode, attempt,
+CASE WHEN n % 5 = 0 THEN 'sin respuesta' ELSE '{{"label":"' || CASE WHEN n % 2 = 1 THEN 'yes' ELSE 'no' END
+  || '","score":0.' || CAST(n % 10 AS VARCHAR) || '}}' END AS raw_response
+FROM asked, (VALUES (1::BIGINT), (2::BIGINT)) a(attempt) WHERE attempt = 1 OR n % 5 = 0""",
+    "embedding_store": f"""WITH {POSTS} SELECT text_id, 'nomic-embed-text' AS model,
+CAST(length(substr(t, 1, 6000)) AS DOUBLE) AS length FROM pool""",
+    "report": f"""WITH {bayes(True)},
+ends AS (SELECT *, row_number() OVER (ORDER BY round(w, 9) DESC, term) AS high, row_number() OVER (ORDER BY round(w, 9), term) AS low FROM theta),
+wrong AS (SELECT *, CASE WHEN y_true = 1 THEN 'falsos_negativos_prioritarios' ELSE 'falsos_positivos' END AS section
+          FROM pred WHERE y_true <> y_pred),
+placed AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY round(score, 12) DESC, text_id) AS r FROM wrong),
+parts AS (
+  SELECT 'terminos_asociados_a_yes' AS section, CAST(high AS INTEGER) AS rank, term AS termino, round(w, 6) AS peso,
+    NULL AS text_id, NULL AS user_id, NULL AS y_true, NULL AS y_pred, NULL AS score, NULL AS fragmento FROM ends WHERE high <= 25
+  UNION ALL SELECT 'terminos_asociados_a_no', CAST(low AS INTEGER), term, round(w, 6), NULL, NULL, NULL, NULL, NULL, NULL
+    FROM ends WHERE low <= 25
+  UNION ALL SELECT section, NULL, NULL, NULL, text_id, user_id, y_true, y_pred, round(score, 6), {fragment_of(RAW_TEXT)}
+    FROM placed WHERE r <= 5)
+SELECT *, 'Evidencia exploratoria del modelo; no debe interpretarse como diagnóstico clínico ni como explicación validada de riesgo individual.' AS nota_etica
+FROM parts""",
     "class_weights": f"""WITH {SPLIT} SELECT y, count(*) AS rows,
 round((SELECT count(*) FROM train) / (2.0 * count(*)), 6) AS weight FROM train GROUP BY y""",
     "mnb_predictions": f"WITH {bayes(True)} SELECT {PRED_LIST} FROM pred",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from postgauge.config import (
     DENSE_CLASSIFIERS,
     FEATURES,
+    LABEL,
     TARGET,
     TEXT,
     TEXT_ID,
@@ -29,6 +31,7 @@ from postgauge.operators import answers, comparison, curves, embeddings, explain
 from postgauge.operators import selection, splitting, tracking
 from postgauge.operators.classifiers import balanced_weights, class_counts, fit_classifier, optimality
 from postgauge.operators.predictions import fold_prediction_table, prediction_table
+from postgauge.operators.providers import batched
 from postgauge.operators.terms import (
     DOCUMENT,
     NORMALIZED,
@@ -41,11 +44,15 @@ from postgauge.operators.terms import (
     term_statistics,
 )
 from postgauge.operators.tfidf import entries, fit_tfidf
+from postgauge.plans.answer_runs import AnswerRun, ask_cell
 from postgauge.plans.cross_validation import cross_validate
 from postgauge.plans.matrices import answer_matrix, embedding_matrix, embedding_predictions
 from postgauge.plans.training import FittedModel, fit_model
 from postgauge.registry import adapters as A
-from postgauge.session import settle
+from postgauge.session import ensure_checkpoint_dir, settle
+from postgauge.sources.embedding_store import append_store, compact_store, read_store
+from postgauge.sources.posts import decode_labels, read_posts_csv
+from postgauge.sources.results import read_answers, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 BAYES_PAIRS = [("multinomial_nb", "word_unigram"), ("complement_nb", "word_unigram")]
@@ -261,6 +268,14 @@ def test_fold_diagnostics(spark, sf_dir):
     return splitting.test_fold_diagnosis(train, test, labels_present=False)
 
 
+def test_fold_labelled(spark, sf_dir):
+    """The diagnosis of a test fold that has labels: the validation side as such a fold."""
+    labelled = A.raw_posts(spark, sf_dir, True)
+    split = splitting.split_by_user(labelled, 0.2, A.SEED)
+    test = split.validation(labelled).withColumns({c: F.when(F.col(c) != "", F.col(c)) for c in (TITLE, TEXT)})
+    return splitting.test_fold_diagnosis(split.train(labelled), decode_labels(test), labels_present=True)
+
+
 def class_weights(spark, sf_dir):
     train, _ = _sides(spark, sf_dir)
     weights = balanced_weights(class_counts(train))
@@ -482,21 +497,25 @@ def top_terms(spark, sf_dir):
     return rounded(weights, "peso")
 
 
-def _explained(spark, sf_dir, pick) -> DataFrame:
-    found = settle(_validated(spark, sf_dir, "multinomial_nb", keep=(TITLE, TEXT)))
-    return rounded(pick(found, X.join_title_text()), "score")
-
-
 def error_examples(spark, sf_dir):
-    return _explained(spark, sf_dir, explain.error_examples)
+    found = settle(_validated(spark, sf_dir, "multinomial_nb"))
+    return rounded(explain.error_examples(found, A.raw_posts(spark, sf_dir, True)), "score")
 
 
 def high_confidence(spark, sf_dir):
     model, _ = _fitted(spark, sf_dir, "multinomial_nb", "word_unigram")
     scored = model.score(A.unlabelled(spark, sf_dir))
     table = fold_prediction_table(scored.select(TEXT_ID, USER, "y_pred", "score"), False)
-    raw = scored.select(TEXT_ID, X.join_title_text().alias("raw"))
-    return rounded(explain.high_confidence(table.join(raw, TEXT_ID), F.col("raw")), "score")
+    return rounded(explain.high_confidence(table, A.raw_posts(spark, sf_dir, False)), "score")
+
+
+def report(spark, sf_dir):
+    """Terms, error examples and the note, as the flows write them."""
+    model, validation = _fitted(spark, sf_dir, "multinomial_nb", "word_unigram")
+    found = settle(prediction_table(model.score(validation), VALIDATION_SPLIT))
+    posts = A.raw_posts(spark, sf_dir, True)
+    whole = explain.report(found, posts, model.features.terms, model.fit)
+    return rounded(whole, "score", "peso")
 
 
 # -- runs and methods ------------------------------------------------------------------
@@ -602,6 +621,48 @@ def answer_classify(spark, sf_dir):
     return found.select(TEXT_ID, "y_true", "y_pred", "score", "error", "attempts", answer_label(F.col("label_pred")).alias("label_value"))
 
 
+# -- flows over stored state -----------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def csv_posts(spark, sf_dir):
+    """All posts written as multi-line CSV and read back by byte range."""
+    path = _folder(spark, "csv-posts")
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    write_table(A.raw_posts(spark, sf_dir).drop(LABEL), path, "csv", **kept)
+    return read_posts_csv(spark, path, require_label=False).select(TEXT_ID, USER, TITLE, TEXT)
+
+
+def answer_log(spark, sf_dir):
+    """The log of a cell asked for twice: the second time nothing is left to ask."""
+    run = AnswerRun(batched(_offline_answer), _folder(spark, "answers"))
+    posts = settle(A.posts(spark, sf_dir).select(TEXT_ID, USER, NORMALIZED))
+    for _ in range(2):
+        ask_cell(posts, run, "gemma3:4b", "zero_shot", ())
+    return read_answers(spark, run.log_path).select(TEXT_ID, "model", "prompt_mode", "attempt", "raw_response")
+
+
+def embedding_store(spark, sf_dir):
+    """Vectors appended twice, compacted, and looked up on the shelves of labelled posts."""
+    path = _folder(spark, "vectors")
+    requests = embeddings.embedding_requests(A.posts(spark, sf_dir), "nomic-embed-text", 6_000)
+    vector = F.array(F.length("cut").cast("double")).alias("embedding")
+    stored = settle(requests.select(*embeddings.CACHE_KEY, vector))
+    for _ in range(2):
+        append_store(stored, path)
+    compact_store(spark, path)
+    wanted = settle(
+        embeddings.embedding_requests(A.pool(spark, sf_dir), "nomic-embed-text", 6_000).select(*embeddings.CACHE_KEY)
+    )
+    found = read_store(spark, path, wanted).join(wanted, list(embeddings.CACHE_KEY))
+    return found.select(TEXT_ID, "model", F.get("embedding", 0).alias("length"))
+
+
 QUERIES: dict[str, Query] = {
     "flagship_metrics": flagship,
     "post_ingest": post_ingest,
@@ -666,6 +727,11 @@ QUERIES: dict[str, Query] = {
     "top_terms": top_terms,
     "error_examples": error_examples,
     "high_confidence": high_confidence,
+    "report": report,
+    "csv_posts": csv_posts,
+    "answer_log": answer_log,
+    "embedding_store": embedding_store,
+    "test_fold_labelled": test_fold_labelled,
     "run_summary": run_summary,
     "latest_runs": latest_runs,
     "run_counters": run_counters,

@@ -153,16 +153,32 @@ class Codec:
 
 
 def _codec(description, pattern: str) -> Codec:
-    gc.disable()  # the remembered pieces are many objects without cycles
     return Codec(description.value, pattern)
 
 
+def _uncollected(run):
+    """Pause the collector while a task runs: the remembered pieces are many objects without
+    cycles. The worker may serve other operators later, so it is turned on again."""
+
+    def paused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            if was:
+                gc.enable()
+
+    return paused
+
+
 def encode(
     docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per document: id, ids, and the character span each token touches (starts, ends)."""
     description = docs.sparkSession.sparkContext.broadcast(tokenizer_json(read_ranks(path)))
 
+    @_uncollected
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(description, pattern)
         for batch in batches:
@@ -190,6 +206,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per row of (doc_id, ids): the decoded bytes and text; null ids give null."""
     description = encoded.sparkSession.sparkContext.broadcast(tokenizer_json(read_ranks(path)))
 
+    @_uncollected
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(description, pattern)
         for batch in batches:
@@ -211,6 +228,7 @@ def token_ids(
     """Per document: doc_id, n_tokens, ids, and whether the ids decode to the text's bytes."""
     description = docs.sparkSession.sparkContext.broadcast(tokenizer_json(read_ranks(path)))
 
+    @_uncollected
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(description, pattern)
         for batch in batches:
@@ -243,6 +261,7 @@ def digests(
     """
     description = docs.sparkSession.sparkContext.broadcast(tokenizer_json(read_ranks(path)))
 
+    @_uncollected
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(description, pattern)
         shown = list(map(str, range(len(codec.token_bytes))))

@@ -43,6 +43,8 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript template textarea title svg iframe select".split())
+#: Raw elements that run to the page's end if they are not closed; others end at the next block.
+ENDLESS = frozenset("script style".split())
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -93,13 +95,19 @@ FEATURES = _BASE + len(_TEXT)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|"
-    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"<]*\"|'[^'<]*'|[^'\"<>])*)>|"
+    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
+    # A quoted value may hold < and >; a quote that is never closed so is a plain character.
+    r"(?P<rest>(?:=\s*\"[^\"]*\"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|[^<>])*+)>|"
     r"<(?P<tag2>/?[a-zA-Z][^\s/<>]*)(?P<rest2>[^<>]*)>",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(
     r"(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE
 )
+#: A slash that closes a drawing's element; one in an unquoted value belongs to the value.
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
+#: The place before the next block element.
+_NEXT_BLOCK = re.compile(rf"(?=</?(?:{'|'.join(sorted(BLOCKS - RAW - {'option'}))})[\s/>])", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -188,10 +196,14 @@ def blocks(page: str) -> list[Block]:
                 pop()
             continue
         if tag in RAW:
+            if tag == "svg" and _SELF_CLOSED.search(rest):
+                continue
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
+            if close is None and tag not in ENDLESS:
+                close = _NEXT_BLOCK.search(page, at)
             at = close.end() if close else size
             continue
-        if tag in VOID or rest.endswith("/"):
+        if tag in VOID:
             continue
         if tag in BLOCKS and open_tags.get("p"):
             while stack[-1][0] != "p":

@@ -2,7 +2,7 @@
 
 Rows are ordered by id. Keys are drawn with a chance in proportion to their size, the
 quantiles of the draw become splitters, and rows are range-partitioned by them. A range that
-holds more than twice its share is subdivided: by key where it has several keys, else by a
+holds more than twice its share of the bytes or of the rows is subdivided: by key where it has several keys, else by a
 hash that differs between the rows of one key. Exact totals of the ranges then give every
 row its place in the total order, and the shard follows from the place: shard s of n takes
 the rows whose middle byte lies in the s-th n-th of all bytes, so shards differ by less
@@ -80,6 +80,7 @@ def _ranges(rows: DataFrame, total: int, count: int) -> tuple[DataFrame, int]:
 def _subdivided(rows: DataFrame, total: int, ranges: int) -> DataFrame:
     """Add ``piece`` within ``zone``: 0, or a part of an overfull range."""
     share = total / ranges
+    each = -(-rows.count() // ranges)
     crowded = (
         rows.groupBy("zone")
         .agg(
@@ -88,10 +89,13 @@ def _subdivided(rows: DataFrame, total: int, ranges: int) -> DataFrame:
             F.min("key").alias("low"),
             F.max("key").alias("high"),
         )
-        .filter((F.col("weight") > 2 * share) & (F.col("n") > 1))
+        .filter(((F.col("weight") > 2 * share) | (F.col("n") > 2 * each)) & (F.col("n") > 1))
         .collect()
     )
-    cuts = {r["zone"]: (r["low"], r["high"], -(-r["weight"] // max(1, int(share)))) for r in crowded}
+    cuts = {
+        r["zone"]: (r["low"], r["high"], max(-(-r["weight"] // max(1, int(share))), -(-r["n"] // each)))
+        for r in crowded
+    }
 
     @F.pandas_udf("long")
     def piece(zone: pd.Series, key: pd.Series, mix: pd.Series) -> pd.Series:

@@ -57,6 +57,43 @@ def test_main_text_of_unseen_layouts():
     assert html_text.main_text(None, model) == html_text.main_text("", model) == ""
 
 
+def texts(page):
+    return [(b.text, b.linked > 0) for b in html_text.blocks(page)]
+
+
+def test_drawings_slashes_and_quoted_values_drop_nothing():
+    assert texts("<p>One</p><svg class='i'/><p>Two</p>") == [("One", False), ("Two", False)]
+    assert texts("<p>One</p><svg viewBox='0'><path d=x/><p>Two</p>") == [("One", False), ("Two", False)]
+    assert texts("<p>One <svg><path/>no</svg> two</p>") == [("One two", False)]
+    assert texts("<select><option>a<p>Two</p>") == [("Two", False)]
+    for page in ("<nav><ul><li><a href=/>Home</a></li></ul></nav>", "<nav><ul><li><a href=/news/>Home</a></ul></nav>"):
+        assert texts(page) == [("Home", True)]
+        assert html_text.main_text(page, html_text.trained()) == ""
+    assert texts('<p title="a<b">Quoted attr text.</p>') == [("Quoted attr text.", False)]
+    assert texts("<p title='a > b' data-x=\"<p>no</p>\">Text.</p>") == [("Text.", False)]
+    assert texts('<p title="open>Kept text</p><p class="x">Also kept</p>') == [("Kept text", False), ("Also kept", False)]
+    assert texts("<div/>Inside</div>") == [("Inside", False)]
+    assert texts("<p>" + "<a b='" * 3000) in ([], [("<a b='" * 3000, False)])
+
+
+def test_viterbi_is_the_best_of_all_labellings():
+    import itertools
+
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    for size in (1, 2, 5, 7):
+        model = html_text.Field(draw.standard_normal(html_text.FEATURES), draw.standard_normal((2, 2)))
+        rows = [draw.choice(html_text.FEATURES, 4, replace=False).tolist() for _ in range(size)]
+
+        def value(labels, model=model, rows=rows):
+            emitted = sum(model.emit[r].sum() for r, label in zip(rows, labels, strict=True) if label)
+            return emitted + sum(model.move[a, b] for a, b in itertools.pairwise(labels))
+
+        best = max(itertools.product((0, 1), repeat=size), key=value)
+        assert list(model.decode(rows)) == list(best)
+
+
 def test_extract_handles_odd_pages(spark):
     rows = [(1, "u", "<article><p>Only this text.</p></article>"), (1, "u", "<article><p>Only this text.</p></article>"), (None, None, None), (2, "u", "<" * 5000 + "a" * 10)]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")

@@ -119,22 +119,48 @@ def evaluate_stored(posts: DataFrame, model_path: str) -> Outcome:
     return _outcome(model, posts, "evaluacion")
 
 
+#: Columns of a test fold that leave the plan before anything is fitted or scored.
+WITHHELD = (LABEL,)
+
+
+def withholds(frame: DataFrame, column: str) -> bool:
+    """Whether a plan never uses ``column``: above its tables, no step of the optimised plan
+    refers to it or hands it on, so a columnar scan does not read it either."""
+    todo = [frame._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        children = node.children()
+        if children.isEmpty():
+            continue
+        used = [node.output(), node.references().toSeq()]
+        if any(names.apply(i).name() == column for names in used for i in range(names.size())):
+            return False
+        todo += [children.apply(i) for i in range(children.size())]
+    return True
+
+
 def predict_test_fold(
     train: DataFrame, raw_test: DataFrame, settings: Settings, evaluate_labels: bool = False
 ) -> Outcome:
     """Fit on all training posts and predict a test fold.
 
     Labels of the test fold leave the plan before anything is fitted or scored, unless
-    evaluation is asked for.
+    evaluation is asked for; ``labels_withheld`` states it after a look at what the plan of
+    the predictions reads, and a plan that reads them all the same is refused.
     """
     labelled = LABEL in raw_test.columns
     if evaluate_labels and not labelled:
         raise ValueError("evaluation was requested, but the test fold has no labels")
-    used = [USER, TEXT_ID, TITLE, TEXT, *([LABEL] if evaluate_labels else [])]
+    shown = evaluate_labels or LABEL not in WITHHELD
+    used = [USER, TEXT_ID, TITLE, TEXT, *([LABEL] if shown and labelled else [])]
     test = decode_labels(fill_text(raw_test.select(*used)))
     model = fit_model(normalized(train), settings)
     scored = model.score(normalized(test))
-    predictions = settle(fold_prediction_table(scored, include_truth=evaluate_labels))
+    planned = fold_prediction_table(scored, include_truth=evaluate_labels)
+    withheld = withholds(planned, LABEL)
+    if labelled and not withheld and not evaluate_labels:
+        raise RuntimeError("the predictions would read the label column of the test fold")
+    predictions = settle(planned)
     metrics = evaluate(predictions) if evaluate_labels else None
     counted = decode_labels(raw_test) if labelled else raw_test
     diagnosis = test_fold_diagnosis(train, counted, labels_present=labelled)
@@ -144,6 +170,7 @@ def predict_test_fold(
             "feature_config_name": F.lit(settings.features),
             "labels_present_in_test_fold": F.lit(labelled),
             "labels_used_for_evaluation": F.lit(evaluate_labels),
+            "labels_withheld": F.lit(withheld),
         }
     )
     return Outcome(model, predictions, metrics, None, provenance)

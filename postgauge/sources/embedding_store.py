@@ -7,13 +7,12 @@ counts once its success mark is there, so a broken compaction changes nothing.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postgauge.operators.embeddings import CACHE_KEY, CACHE_SCHEMA, check_vectors
+from postgauge.sources.generations import newest_generation, next_generation
 from postgauge.sources.results import path_exists
 
 #: Shelves of a store; its files tell nothing else apart, so the number must not change.
@@ -26,25 +25,12 @@ def shelf() -> Column:
     return F.pmod(F.xxhash64(*(F.col(c).cast("string") for c in CACHE_KEY)), F.lit(SHELVES)).cast("int")
 
 
-def _generations(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished generations, oldest first."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/generation=*/_SUCCESS")
-    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or []
-    names = (re.search(r"generation=(\d+)/_SUCCESS$", str(status.getPath())) for status in found)
-    return sorted(int(name.group(1)) for name in names if name)
-
-
-def _newest(spark: SparkSession, path: str) -> str | None:
-    numbers = _generations(spark, path)
-    return f"{path}/generation={numbers[-1]}" if numbers else None
-
-
 def read_store(spark: SparkSession, path: str, requests: DataFrame | None = None) -> DataFrame:
     """Stored vectors, or none yet; with ``requests`` only those on the shelves they touch.
 
     A key that was appended twice is still there twice until compaction.
     """
-    newest = _newest(spark, path)
+    newest = newest_generation(spark, path)
     if newest is None and not path_exists(spark, f"{path}/part-*"):
         return spark.createDataFrame([], CACHE_SCHEMA)
     if newest is None:
@@ -66,13 +52,12 @@ def _write(rows: DataFrame, folder: str, mode: str) -> None:
 def append_store(fresh: DataFrame, path: str) -> None:
     """Only vectors that were missing are added."""
     spark = fresh.sparkSession
-    _write(fresh, _newest(spark, path) or f"{path}/generation=1", "append")
+    _write(fresh, newest_generation(spark, path) or next_generation(spark, path), "append")
 
 
 def compact_store(spark: SparkSession, path: str) -> None:
     """Write one row per key as a new generation; older ones may be deleted afterwards."""
-    numbers = _generations(spark, path)
-    if not numbers:
+    if newest_generation(spark, path) is None:
         return
     rows = read_store(spark, path).groupBy(*CACHE_KEY).agg(F.max("embedding").alias("embedding"))
-    _write(rows, f"{path}/generation={numbers[-1] + 1}", "overwrite")
+    _write(rows, next_generation(spark, path), "overwrite")

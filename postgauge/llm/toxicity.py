@@ -32,13 +32,14 @@ must fit a task.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,8 @@ SHARDS = 1 << SHARD_BITS
 PAIR_DISCOUNT, LOW_DISCOUNT, COMMON_DISCOUNT = 4.0, 4.0, 0.75
 #: Letters (bytes of a group to be scored) that a task gathers before it passes them on.
 GATHERED = 4_000_000
+#: Bytes of documents that ask together: the more, the fewer sixes a letter asks for.
+GROUP = 32_000_000
 #: Log ratio from which a letter is strong evidence on its own.
 SURGE = 1.5
 #: Labelled rows, at most, that the logistic curve is fitted on.
@@ -290,56 +293,93 @@ def learn(docs: DataFrame, labels: DataFrame) -> Models | None:
     return Models(counts, low.reshape(2, -1).astype(np.float32), shared.ravel().astype(np.float32))
 
 
-def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Sixes of all texts of a column and the row of each."""
-    keys, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def _letters(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sixes of the texts of a column and the row of each, a slice of texts at a time."""
     for start, _, data, offsets in text_slices(column):
-        some, at = letter_keys(Words(data, offsets, ALNUM))
-        keys.append(some)
-        rows.append(at + start)
-    return np.concatenate(keys), np.concatenate(rows)
+        keys, at = letter_keys(Words(data, offsets, ALNUM))
+        yield keys, at + start
 
 
-def _asked(docs: DataFrame) -> DataFrame:
-    """Groups of documents: a row (shard -1) with their ids and texts, and one row for each
-    shard with the distinct sixes of the group that are in it."""
+def _distinct(column: pa.Array) -> np.ndarray:
+    """Different sixes of a column, in order."""
+    found = np.zeros(0, np.int64)
+    held: list[np.ndarray] = []
+    for keys, _ in _letters(column):
+        held.append(np.unique(keys))
+        if sum(map(len, held)) > len(found):
+            found, held = np.unique(np.concatenate([found, *held])), []
+    return np.unique(np.concatenate([found, *held]))
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """Ids and texts with the number of their partition."""
+    return docs.select("doc_id", "text", F.spark_partition_id().alias("part"))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, bytes]]:
+    """Documents in groups of about ``GROUP`` bytes: name, ids and texts, and their bytes.
+
+    A group is named by a hash of its place and content. The passes over the texts thus agree on
+    a group or, if the input has changed between them, find no answers to it.
+    """
 
-    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        group = uuid.uuid4().int >> 65
-        texts = pa.Table.from_batches(held).combine_chunks()
+    def named(held: list[pa.RecordBatch], number: int) -> tuple[int, pa.Table, bytes]:
+        group = pa.Table.from_batches(held).combine_chunks()
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, texts.schema) as out:
-            out.write_table(texts)
-        keys = np.unique(_letters(texts.column(1))[0])
-        shards = _shard(keys)
-        order = np.argsort(shards, kind="stable")
-        cuts = np.searchsorted(shards[order], np.arange(SHARDS + 1))
-        some = np.flatnonzero(np.diff(cuts)).tolist()
-        bodies = [zlib.compress(sink.getvalue(), 1)] + [
-            _packed(np.diff(keys[order[cuts[k] : cuts[k + 1]]], prepend=0)) for k in some
-        ]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([group] * len(bodies), pa.int64()),
-                pa.array([-1, *some], pa.int32()),
-                pa.array(bodies, pa.binary()),
-            ],
-            names=["batch", "shard", "body"],
-        )
+        with pa.ipc.new_stream(sink, group.schema) as out:
+            out.write_table(group)
+        body = sink.getvalue().to_pybytes()
+        digest = hashlib.blake2b(body, digest_size=8, salt=number.to_bytes(16, "big")).digest()
+        return int.from_bytes(digest, "big") >> 1, group, body
+
+    held, size, number = [], 0, 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            held.append(batch.slice(at, 256))
+            size += held[-1].nbytes
+            if size >= GROUP:
+                yield named(held, number)
+                held, size, number = [], 0, number + 1
+    if held:
+        yield named(held, number)
+
+
+_GROUP_ROWS = "batch long, shard int, body binary"
+
+
+def _group_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 3
+    kinds = (pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["batch", "shard", "body"]
+    )
+
+
+def _asked(docs: DataFrame) -> DataFrame:
+    """One row for each group and shard with the distinct sixes of the group that are in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                held.append(batch.slice(at, 256))
-                size += held[-1].nbytes
-                if size >= GATHERED:
-                    yield packed(held)
-                    held, size = [], 0
-        if held:
-            yield packed(held)
+        for name, group, _ in _groups(batches):
+            keys = _distinct(group.column(1))
+            shards = _shard(keys)
+            order = np.argsort(shards, kind="stable")
+            cuts = np.searchsorted(shards[order], np.arange(SHARDS + 1))
+            some = np.flatnonzero(np.diff(cuts)).tolist()
+            yield _group_rows(
+                [(name, k, _packed(np.diff(keys[order[cuts[k] : cuts[k + 1]]], prepend=0))) for k in some]
+            )
 
-    return docs.mapInArrow(run, "batch long, shard int, body binary")
+    return _placed(docs).mapInArrow(run, _GROUP_ROWS)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """One row for each group (shard -1) with its ids and texts, compressed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, _, body in _groups(batches):
+            yield _group_rows([(name, -1, zstandard.compress(body, 6))])
+
+    return _placed(docs).mapInArrow(run, _GROUP_ROWS)
 
 
 def _answered(asked: DataFrame, models: Models) -> DataFrame:
@@ -347,7 +387,7 @@ def _answered(asked: DataFrame, models: Models) -> DataFrame:
     sent = asked.sparkSession.sparkContext.broadcast((models.low, models.shared))
     none = F.lit(None).cast("binary")
     rows = models.counts.select(F.lit(None).cast("long").alias("batch"), "shard", "keys", "ordinary", "toxic").union(
-        asked.filter("shard >= 0").select("batch", "shard", "body", none, none)
+        asked.select("batch", "shard", "body", none, none)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,16 +403,12 @@ def _answered(asked: DataFrame, models: Models) -> DataFrame:
                     counts = np.array([_opened(row[x], np.int64) for x in ("ordinary", "toxic")])
                 else:
                     out.append((row["batch"], shard, _packed(gains(keys, held, counts, *sent.value))))
-            columns = list(zip(*out, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                names=["batch", "shard", "body"],
-            )
+            yield _group_rows(out)
 
     return (
         rows.repartition("shard")
         .sortWithinPartitions("shard", F.col("batch").asc_nulls_first())
-        .mapInArrow(run, "batch long, shard int, body binary")
+        .mapInArrow(run, _GROUP_ROWS)
     )
 
 
@@ -380,24 +416,29 @@ def raw_scores(docs: DataFrame, models: Models | None) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_letters and, as means over them, gain (the log
     ratio) and surge (its excess over ``SURGE``).
 
-    Groups of documents ask the shards for their distinct sixes; the model stays in Spark.
+    Groups of documents ask the shards for their distinct sixes; the model stays in Spark. The
+    texts move once, to the answers of their group; no copy of them is stored.
     """
-    asked = settle(_asked(docs))
-    rows = asked.filter("shard = -1")
-    if models is not None:
-        rows = rows.union(_answered(asked, models))
+    rows, learned = _texts(docs), models is not None
+    if learned:
+        rows = rows.union(_answered(_asked(docs), models))
 
     def finished(body: bytes, answers: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        texts = pa.ipc.open_stream(zlib.decompress(body)).read_all()
-        keys, at = _letters(texts.column(1))
-        distinct, place = np.unique(keys, return_inverse=True)
+        texts = pa.ipc.open_stream(zstandard.decompress(body)).read_all()
+        distinct = _distinct(texts.column(1))
         gain, shards = np.zeros(len(distinct)), _shard(distinct)
+        wanted = np.unique(shards).tolist() if learned else []
+        if [shard for shard, _ in answers] != wanted:
+            raise RuntimeError("the documents have changed while they were read")
         for shard, answer in answers:
             gain[shards == shard] = _opened(answer, np.float32)
-        gain, size = gain[place], texts.num_rows
-        counts = np.bincount(at, minlength=size)
-        scale = np.maximum(counts, 1)
-        means = [np.bincount(at, v, minlength=size) / scale for v in (gain, np.maximum(gain - SURGE, 0))]
+        size = texts.num_rows
+        counts, sums = np.zeros(size, np.int64), np.zeros((2, size))
+        for keys, at in _letters(texts.column(1)):
+            here = gain[np.searchsorted(distinct, keys)]
+            counts += np.bincount(at, minlength=size)
+            sums += [np.bincount(at, v, minlength=size) for v in (here, np.maximum(here - SURGE, 0))]
+        means = sums / np.maximum(counts, 1)
         return pa.RecordBatch.from_arrays(
             [texts.column(0).combine_chunks(), pa.array(counts, pa.int64()), *map(pa.array, means)],
             names=["doc_id", "n_letters", "gain", "surge"],

@@ -32,6 +32,7 @@ Rules:
 """
 POST_HEADING = "Reddit post"
 FINAL_HEADING = "Final Reddit post"
+FINAL_POST = "final Reddit post"
 EXAMPLES_HEADING = "Few-shot examples:\n"
 EXAMPLE_ANSWER = (
     'Expected JSON:\n{{"label":"{label}","score":{score},"evidence":[],'
@@ -72,7 +73,7 @@ def few_shot_opening(examples: Sequence[tuple[str, str]]) -> str:
         )
         for number, (label, text) in enumerate(examples, start=1)
     ]
-    task = TASK.format(which=FINAL_HEADING[0].lower() + FINAL_HEADING[1:])
+    task = TASK.format(which=FINAL_POST)
     return task + EXAMPLES_HEADING + "\n\n".join(blocks) + "\n\n"
 
 

@@ -174,3 +174,58 @@ def predict_test_fold(
         }
     )
     return Outcome(model, predictions, metrics, None, provenance)
+
+
+# The notes of a test-fold record.
+ETHICAL_NOTE = (
+    "Este flujo genera resultados experimentales del reto académico y no "
+    "constituye una herramienta de diagnóstico clínico."
+)
+TEST_LABEL_NOTE = (
+    "Las etiquetas del fold de prueba no se usan para entrenamiento, selección "
+    "de modelo ni ajuste de hiperparámetros."
+)
+_TOP_LEVEL = (
+    "classifier_name",
+    "feature_config_name",
+    "train_rows",
+    "test_rows",
+    "labels_present_in_test_fold",
+    "labels_used_for_evaluation",
+)
+
+
+def fold_record(
+    outcome: Outcome, path: str, train_input: str, test_input: str, with_model: bool = True
+) -> DataFrame:
+    """One record of a test-fold run: when, from what, where to, the notes and the diagnosis.
+
+    ``metrics_out`` and ``model_out`` are null where nothing is written.
+    """
+    diagnosis = outcome.diagnosis
+    facts = [c for c in diagnosis.columns if c not in _TOP_LEVEL[:2] + _TOP_LEVEL[4:]]
+    evaluated = f"{path}/metrics.json" if outcome.metrics is not None else None
+    texts = {
+        "train_input": train_input,
+        "test_input": test_input,
+        "predictions_out": f"{path}/predictions",
+        "metrics_out": evaluated,
+        "model_out": f"{path}/model" if with_model else None,
+        "ethical_note": ETHICAL_NOTE,
+        "test_label_usage_note": TEST_LABEL_NOTE,
+    }
+    return diagnosis.select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        *_TOP_LEVEL,
+        *(F.lit(value).cast("string").alias(name) for name, value in texts.items()),
+        F.struct(*facts).alias("diagnostics"),
+    )
+
+
+def write_test_fold(
+    outcome: Outcome, path: str, train_input: str, test_input: str, with_model: bool = True
+) -> None:
+    """All tables of a test-fold run and its record."""
+    outcome.write(path, with_model)
+    record = fold_record(outcome, path, train_input, test_input, with_model)
+    write_table(record.coalesce(1), f"{path}/metadata.json", "json")

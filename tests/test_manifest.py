@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from postgauge.config import Settings
 from postgauge.plans.experiments import run_grid
-from postgauge.plans.training import FittedModel, normalized, predict_test_fold, withholds
+from postgauge.plans.training import FittedModel, normalized, predict_test_fold, withholds, write_test_fold
 from postgauge.sources.posts import decode_labels
 from postgauge.sources.results import read_run_summary
 from postgauge.sources.run_manifest import stored_run_summary, update_run_summary
@@ -71,6 +71,22 @@ def test_plans_that_read_a_label_are_caught(spark, small_posts, tmp_path):
     assert rows(held.predictions) == rows(shown.predictions.drop("y_true"))
 
 
+def test_the_record_of_a_test_fold(spark, small_posts, tmp_path):
+    train = decode_labels(small_posts)
+    for labels, models in ((True, True), (False, False)):
+        path = str(tmp_path / f"fold{labels}")
+        write_test_fold(predict_test_fold(train, small_posts, CNB, labels), path, "in/train", "in/test", models)
+        record = spark.read.json(f"{path}/metadata.json").first()
+        assert (record.train_input, record.test_input, record.predictions_out) == ("in/train", "in/test", f"{path}/predictions")
+        assert record.timestamp.endswith("Z") and record.train_rows == record.test_rows == 60
+        assert record.metrics_out == (f"{path}/metrics.json" if labels else None)
+        assert record.model_out == (f"{path}/model" if models else None)
+        assert record.labels_present_in_test_fold and record.labels_used_for_evaluation is labels
+        assert record.diagnostics.unique_test_users == 20 and record.diagnostics.test_label_yes == 20
+        assert record.ethical_note and record.test_label_usage_note
+        assert os.path.isdir(f"{path}/model") is models
+
+
 def test_a_fold_whose_predictions_need_the_label_is_refused(spark, small_posts, tmp_path, monkeypatch):
     small_posts.write.parquet(str(tmp_path / "posts"))
     stored = spark.read.parquet(str(tmp_path / "posts"))

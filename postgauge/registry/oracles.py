@@ -538,6 +538,18 @@ count(*) FILTER (title = '') AS missing_title_values, count(*) FILTER (text = ''
 (SELECT count(DISTINCT user_id) FROM train) AS unique_train_users, count(DISTINCT user_id) AS unique_test_users,
 (SELECT count(*) FROM (SELECT user_id FROM train INTERSECT SELECT user_id FROM valid)) AS train_test_user_overlap_count,
 count(*) FILTER (y = 0) AS test_label_no, count(*) FILTER (y = 1) AS test_label_yes FROM valid""",
+    "test_fold_record": f"""WITH {SPLIT}
+SELECT 'complement_nb' AS classifier_name, 'word_unigram' AS feature_config_name,
+(SELECT count(*) FROM train) AS train_rows, count(*) AS test_rows, true AS labels_present_in_test_fold,
+false AS labels_used_for_evaluation, 'train' AS train_input, 'test' AS test_input, 'out/predictions' AS predictions_out,
+CAST(NULL AS VARCHAR) AS metrics_out, CAST(NULL AS VARCHAR) AS model_out,
+'Este flujo genera resultados experimentales del reto académico y no constituye una herramienta de diagnóstico clínico.' AS ethical_note,
+'Las etiquetas del fold de prueba no se usan para entrenamiento, selección de modelo ni ajuste de hiperparámetros.' AS test_label_usage_note,
+0 AS missing_title_values, 0 AS missing_text_values,
+(SELECT count(DISTINCT user_id) FROM train) AS unique_train_users, count(DISTINCT user_id) AS unique_test_users,
+(SELECT count(*) FROM (SELECT user_id FROM train INTERSECT SELECT user_id FROM valid)) AS train_test_user_overlap_count,
+count(*) FILTER (y = 0) AS test_label_no, count(*) FILTER (y = 1) AS test_label_yes, true AS labels_withheld,
+count(*) AS predictions FROM valid""",
     "csv_posts": f"WITH {POSTS} SELECT text_id, user_id, title, text FROM posts",
     "answer_log": f"""WITH {POSTS}, asked AS (SELECT text_id, length({zero_shot("t")}) AS n FROM norm)
 SELECT text_id, 'gemma3:4b' AS model, 'zero_shot' AS prompt_mode, attempt,

@@ -47,7 +47,7 @@ from postgauge.operators.tfidf import entries, fit_tfidf
 from postgauge.plans.answer_runs import AnswerRun, ask_cell
 from postgauge.plans.cross_validation import cross_validate
 from postgauge.plans.matrices import answer_matrix, embedding_matrix, embedding_predictions
-from postgauge.plans.training import FittedModel, fit_model
+from postgauge.plans.training import FittedModel, fit_model, fold_record, predict_test_fold
 from postgauge.registry import adapters as A
 from postgauge.session import ensure_checkpoint_dir, settle
 from postgauge.sources.embedding_store import append_store, compact_store, read_store
@@ -276,6 +276,19 @@ def test_fold_labelled(spark, sf_dir):
     return splitting.test_fold_diagnosis(split.train(labelled), decode_labels(test), labels_present=True)
 
 
+def test_fold_record(spark, sf_dir):
+    """The record of a run over the validation side as a labelled fold, labels withheld."""
+    labelled = A.raw_posts(spark, sf_dir, True)
+    split = splitting.split_by_user(labelled, 0.2, A.SEED)
+    settings = Settings().with_pair("complement_nb", "word_unigram")
+    train = decode_labels(split.train(labelled))
+    outcome = predict_test_fold(train, split.validation(labelled), settings)
+    found = fold_record(outcome, "out", "train", "test", with_model=False)
+    found = found.drop("train_rows", "test_rows").select("*", "diagnostics.*")
+    predicted = outcome.predictions.agg(F.count("y_pred").alias("predictions")).first()
+    return found.drop("timestamp", "diagnostics").withColumn("predictions", F.lit(predicted[0]).cast("long"))
+
+
 def class_weights(spark, sf_dir):
     train, _ = _sides(spark, sf_dir)
     weights = balanced_weights(class_counts(train))
@@ -732,6 +745,7 @@ QUERIES: dict[str, Query] = {
     "answer_log": answer_log,
     "embedding_store": embedding_store,
     "test_fold_labelled": test_fold_labelled,
+    "test_fold_record": test_fold_record,
     "run_summary": run_summary,
     "latest_runs": latest_runs,
     "run_counters": run_counters,

@@ -187,3 +187,25 @@ def test_toxicity_counts_share_no_cells(spark):
         size = len(rows[i][1])
         wanted = sum(gain(pad[i][1][j : j + 6]) for j in range(size)) / size
         assert abs(found[i] - wanted) < 1e-4, (i, found[i], wanted)
+
+
+def test_groups_of_documents_are_named_by_place_and_content(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(toxicity, "GROUP", 4000)
+    texts = ["the same words again"] * 3000 + [None, "", "Ünd ander" * 500]
+
+    def batches(part):
+        rows = {"doc_id": range(len(texts)), "text": texts, "part": [part] * len(texts)}
+        same = pa.RecordBatch.from_pydict({**rows, "doc_id": [7] * len(texts)})
+        return iter([same.slice(0, 1500), same.slice(1500)])
+
+    first, again, other = (list(toxicity._groups(batches(p))) for p in (0, 0, 1))
+    names = [n for n, _, _ in first]
+    assert len(names) > 5 and len(set(names)) == len(names)
+    assert names == [n for n, _, _ in again] and not set(names) & {n for n, _, _ in other}
+    assert sum(g.num_rows for _, g, _ in first) == len(texts)
+    for _, group, _ in first:
+        keys = [k for k, _ in toxicity._letters(group.column(1))]
+        assert np.array_equal(toxicity._distinct(group.column(1)), np.unique(np.concatenate(keys)))

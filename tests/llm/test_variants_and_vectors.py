@@ -101,8 +101,28 @@ def odd_turns():
     return rows
 
 
-def test_repair_equals_brute_force_where_conversations_are_cut(spark, uneven, monkeypatch):
-    monkeypatch.setattr(conversation, "PIECE", 300)
+@pytest.mark.parametrize("size", [1, 30, 10**6])
+def test_pieces_of_any_size_give_one_digest(monkeypatch, size):
+    monkeypatch.setattr(conversation, "PIECE", size)
+    for conv, kept in damaged([r for r in odd_turns() if r[0] in (1, 2, 3, 77)]).items():
+        part, seen = conversation.Part(conv), set()
+        for turn, role, text in kept:
+            solid = text.strip(conversation.SPACE)
+            part.add(turn, role, text, 1, not solid, (role, text) in seen, solid[-1:] not in (".", "!", "?"))
+            seen.add((role, text))
+        total, table = conversation._Sum(conv), conversation.Table()
+        whole = (0, conversation.FINAL, True, True)
+        total.facts(conversation._facts(part, table, whole))
+        pieces = list(conversation._pieces(part, table, whole))
+        for piece in pieces:
+            total.piece(*piece)
+        assert size > 1 or len(pieces) > len(kept) // 2
+        row = total.row()
+        found = [row[k] for k in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")]
+        assert tuple(found) == repaired(kept)
+
+
+def test_repair_equals_brute_force_where_conversations_are_cut(spark, uneven):
     rows = odd_turns()
     frame = spark.createDataFrame([(*r, "s", 9, "k") for r in rows], TURNS)
     found = {r.conv_id: tuple(r)[1:] for r in conversation.digests(conversation.damage(frame)).collect()}

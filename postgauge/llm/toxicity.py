@@ -55,7 +55,7 @@ PAIR_DISCOUNT, LOW_DISCOUNT, COMMON_DISCOUNT = 4.0, 4.0, 0.75
 #: Letters (bytes of a group to be scored) that a task gathers before it passes them on.
 GATHERED = 4_000_000
 #: Bytes of documents that ask together: the more, the fewer sixes a letter asks for.
-GROUP = 32_000_000
+GROUP = 16_000_000
 #: Log ratio from which a letter is strong evidence on its own.
 SURGE = 1.5
 #: Labelled rows, at most, that the logistic curve is fitted on.
@@ -435,7 +435,8 @@ def raw_scores(docs: DataFrame, models: Models | None) -> DataFrame:
         size = texts.num_rows
         counts, sums = np.zeros(size, np.int64), np.zeros((2, size))
         for keys, at in _letters(texts.column(1)):
-            here = gain[np.searchsorted(distinct, keys)]
+            some, place = np.unique(keys, return_inverse=True)
+            here = gain[np.searchsorted(distinct, some)][place]
             counts += np.bincount(at, minlength=size)
             sums += [np.bincount(at, v, minlength=size) for v in (here, np.maximum(here - SURGE, 0))]
         means = sums / np.maximum(counts, 1)

@@ -4,24 +4,27 @@ Each text becomes the set of its word shingles, each shingle a 64-bit hash, and
 smallest hashes are its sketch. Texts with equal sets form one class; only classes are
 compared, so copies are never expanded into pairs.
 
-Candidates come from inverted lists. The key of a list is a run of three neighbouring values
-of a sketch: it is shared if the three shingles are shared and nothing lies between them.
-Two sets at similarity 0.8 always share such a run while both fit the sketch (a run of three
-exists among six or more values of which at most a fifth are missing; sets of four and five
-shingles are matched by their four common values instead). For larger sets the chance that a
-pair of similarity s shares no run among 64 values is below 1e-9 at s = 0.8.
-
-Every list has a leader. A list of more than ``LIST`` classes, as of frequent words or of a
-passage many texts share, is split by longer runs, and a member whose longer run nobody
-shares, or that has none, is compared with the leader of the last long list it was in. First
-all members are compared with leaders only, which is linear in the lists, and the links give
-components. Then the pairs of a short list that are still in different components are
-compared too; a pair inside a component needs no link of its own. Last, all members of long
-lists are listed once more, by the rarest values of their sketches: a link needs so many
-common values that one of them is among the rarest of both. In these lists, whatever their
-length, members outside the main component are compared with all members of other
-components, so no pair is left out because a list is long. Overlap of the union sketch (its
-share of common values, 0.5 or more) filters candidates; links are confirmed on full sets.
+Candidates come from inverted lists. A sketch is put in order of frequency (a table of
+``CELLS`` bytes counts the retained values of all sketches by hash), rare values first, ties
+by value. The key of a list is a run of two values that are neighbours in this order, and runs
+start in the rare part only: a passage that many texts share makes no list unless it is most
+of a text. Sets below ``EXACT`` shingles that are linked share such a run for certain: the
+values not in common are at most a fifth of the union, each breaks at most one run, so a
+common run starts in the first two fifths. A larger set starts runs at ``STARTS`` places;
+the chance that a pair at similarity 0.8 shares none is below 1e-7.
+
+Members of a list first meet two leaders: the member in most lists, which is the least
+edited one of a family, and such a one outside the list's largest component; in the second
+turn one by hash. That is linear in the lists, and the links give components. Lists of one
+component are done. In the others, members outside the largest component meet all members of
+other components, however long the list, so no pair is left out; the join keeps only pairs
+whose sets can be linked: parity bits of whole sets differ in no more cells than the sets
+differ in values, which proves most pairs apart and never loses a link. This last step tests
+outside members against a whole list, so its time, not its output, grows with their product.
+
+Overlap of the union sketch (its share of common values, 0.5 or more; a pair at similarity
+0.8 is lost with a chance of 2e-8) and the same parity bound filter candidates; links are
+confirmed on full sets.
 
 Components come from alternating star contraction of the confirmed links; every step is a
 join or a combinable minimum, and no list, link or component is gathered on the driver.
@@ -36,9 +39,7 @@ the id and the text are read. One text must fit a task.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,10 +51,16 @@ from postgauge.session import settle
 
 #: Values kept per sketch.
 SKETCH = 64
-#: Classes up to which an inverted list gives all its pairs.
-LIST = 32
-#: Lengths of runs: the first makes the lists, the others split long lists.
-RUNS = (3, 4, 6, 9, 13)
+#: Cells of the frequency table that puts the values of a sketch in order.
+CELLS = 1 << 21
+#: Sets below this size fit the sketch, and so do all sets they may be linked with.
+EXACT = 52
+#: Places of a larger set's ordered sketch at which runs of two values start.
+STARTS = 36
+#: Parity bits of a whole set.
+ODD = 1024
+#: Rounds in which members of a list meet leaders only.
+TURNS = 2
 #: Share of common values in the union sketch below which a candidate is not confirmed.
 ESTIMATE = 0.5
 
@@ -94,21 +101,29 @@ def _key(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
+def _odd(values: np.ndarray) -> np.ndarray:
+    """For each of ``ODD`` cells whether an odd number of the set's values fall in it."""
+    cells = mix64(values.view(np.uint64)) % np.uint64(ODD)
+    odd = np.bincount(cells.view(np.int64), minlength=ODD) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def sketches(
     docs: DataFrame, width: int = 5, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Per row: doc_id, row_key (hash of id and text), n_shingles, set_key and sketch.
+    """Per row: doc_id, row_key (hash of id and text), n_shingles, set_key, sketch and odd.
 
-    ``set_key`` is a digest of the whole set.
+    ``set_key`` is a digest of the whole set, ``odd`` its ``ODD`` parity bits.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, kept = [], [], []
+            sizes, keys, kept, odd = [], [], [], []
             for values in shingle_sets(batch.column(2), width):
                 sizes.append(len(values))
                 keys.append(_key(values))
                 kept.append(values[:SKETCH])
+                odd.append(_odd(values))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -116,12 +131,14 @@ def sketches(
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
                     _lists(kept),
+                    _lists(odd),
                 ],
-                names=["doc_id", "row_key", "n_shingles", "set_key", "sketch"],
+                names=["doc_id", "row_key", "n_shingles", "set_key", "sketch", "odd"],
             )
 
     return _keyed(docs, id_column, text).mapInArrow(
-        run, "doc_id long, row_key long, n_shingles long, set_key binary, sketch array<long>"
+        run,
+        "doc_id long, row_key long, n_shingles long, set_key binary, sketch array<long>, odd array<long>",
     )
 
 
@@ -134,23 +151,6 @@ def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     )
 
 
-def _run_key(sketch: Column, at: Column, length: int) -> Column:
-    return F.xxhash64(F.lit(length), *(F.get(sketch, at + j) for j in range(length)))
-
-
-def _longer(held: str, sketch: str, length: int) -> Column:
-    """The held places of a sketch with the keys of the longer runs that start there."""
-    return F.transform(
-        held,
-        lambda h: F.struct(
-            h["at"].alias("at"),
-            h["leader"].alias("leader"),
-            h["m"].alias("m"),
-            _run_key(sketch, h["at"], length).alias("key"),
-        ),
-    )
-
-
 def _alike(a: Column, b: Column) -> Column:
     """Set sizes that allow a similarity of 0.8."""
     return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
@@ -160,120 +160,164 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _small_pairs(classes: DataFrame) -> DataFrame:
-    """Sets of five shingles and the sets of four inside them."""
-    four = classes.filter("n = 4").select(F.col("node").alias("x"), F.xxhash64("sketch").alias("key"))
-    five = classes.filter("n = 5").select(
-        F.col("node").alias("y"),
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(4)),
-                lambda i: F.xxhash64(F.filter("sketch", lambda _, j: j != i)),
+def _frequencies(classes: DataFrame) -> np.ndarray:
+    """One byte per hashed value: twice the logarithm of how many sketches hold such values.
+
+    ``CELLS`` bytes whatever the input, collected as packed rows of 4,096.
+    """
+    cell = F.pmod(F.col("value"), F.lit(CELLS)).cast("int")
+    counted = (
+        classes.select(F.explode("sketch").alias("value"))
+        .groupBy(cell.alias("cell"))
+        .agg(F.floor(2 * F.log2(F.count("*"))).cast("int").alias("level"))
+        .groupBy(F.floor(F.col("cell") / 4096).cast("int").alias("part"))
+        .agg(F.collect_list(F.struct(F.col("cell") % 4096, "level")).alias("held"))
+        .select("part", F.transform("held", lambda h: h["level"] * 4096 + h["col1"]).alias("held"))
+    )
+    levels = np.zeros(CELLS, np.uint8)
+    for part, held in counted.toLocalIterator():
+        packed = np.asarray(held, np.int64)
+        levels[part * 4096 + packed % 4096] = packed // 4096
+    return levels
+
+
+def _run_rows(classes: DataFrame) -> DataFrame:
+    """(key, node, n): runs of two neighbouring values in the rare part of each sketch."""
+    sent = classes.sparkSession.sparkContext.broadcast(_frequencies(classes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            ends = np.asarray(lists.offsets, np.int64)
+            values = np.asarray(lists.values, np.int64)[ends[0] : ends[-1]]
+            ends = ends - ends[0]
+            sizes = np.diff(ends)
+            rows = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((values, sent.value[values % CELLS], rows))
+            hashes = mix64(values[order].view(np.uint64))
+            starts = np.where(sizes < EXACT, 2 * sizes // 5 + 1, STARTS)
+            place = np.arange(len(values)) - ends[rows]
+            first = np.flatnonzero((place < starts[rows]) & (place + 1 < sizes[rows]))
+            with np.errstate(over="ignore"):
+                keys = mix64(hashes[first] * _STEP + hashes[first + 1]).view(np.int64)
+            at = rows[first]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), batch.column(0).take(at), batch.column(1).take(at)],
+                names=["key", "node", "n"],
             )
-        ).alias("key"),
+
+    return (
+        classes.filter("n >= 4").select("node", "n", "sketch")
+        .mapInArrow(run, "key long, node long, n long")
     )
-    return four.join(five, "key").select(*_ordered(F.col("x"), F.col("y")))
 
 
-def _leader() -> Column:
-    """The leader of a list (its smallest hashed node) and the size of its set, as a struct."""
-    return F.min(F.struct(F.xxhash64("node"), F.col("node").alias("leader"), F.col("n").alias("m")))
+def _shared_rows(classes: DataFrame) -> DataFrame:
+    """Rows (key, node, n, listed) of the lists with two members or more.
+
+    ``listed`` counts a node's lists: the least edited member of a family has most.
+    """
+    rows = _run_rows(classes)
+    shared = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    rows = settle(rows.join(shared, "key"))
+    return rows.join(rows.groupBy("node").agg(F.count("*").alias("listed")), "node")
 
 
-def _led(rows: DataFrame) -> DataFrame:
-    """Rows of a long list with its leader."""
-    return rows.filter((F.col("node") != F.col("leader")) & _alike(F.col("n"), F.col("m"))).select(
-        *_ordered(F.col("node"), F.col("leader"))
+def _mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, n, listed, root, main): members of lists with several components.
+
+    ``main`` is the largest component of the list.
+    """
+    rooted = (
+        lists.select("key", "node", "n", "listed")
+        .join(roots, "node", "left")
+        .select("key", "node", "n", "listed", F.coalesce("root", "node").alias("root"))
     )
+    found = (
+        rooted.groupBy("key", "root")
+        .agg(F.count("*").alias("c"))
+        .groupBy("key")
+        .agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("most"))
+        .filter("roots > 1")
+        .select("key", F.col("most.root").alias("main"))
+    )
+    return rooted.join(found, "key")
 
 
-def _stars_of_lists(rows: DataFrame) -> DataFrame:
-    """Members of lists of bounded length with the list's leader."""
-    lists = rows.groupBy("key").agg(
-        F.collect_list(F.struct("node", "n")).alias("members"), _leader().alias("least")
+def _leader(turn: int, among: Column) -> Column:
+    """A member with its size and component: the one in most lists, in later turns a hashed one."""
+    first = -F.col("listed") if turn == 0 else F.xxhash64(F.lit(turn), "node")
+    return F.min(F.when(among, F.struct(first, F.xxhash64("node"), F.col("node").alias("node"), "n", "root")))
+
+
+def _led(mixed: DataFrame, turn: int) -> DataFrame:
+    """Members with leaders of their list: one of all, one of those outside the main component."""
+    leaders = mixed.groupBy("key").agg(
+        _leader(turn, F.lit(True)).alias("one"),
+        _leader(0, F.col("root") != F.col("main")).alias("two"),
     )
-    led = F.filter(
-        "members",
-        lambda x: (x["node"] != F.col("least.leader")) & _alike(x["n"], F.col("least.m")),
+    met = mixed.join(leaders, "key").select("node", "n", "root", F.explode(F.array("one", "two")).alias("led"))
+    return (
+        met.filter((F.col("root") != F.col("led.root")) & _alike(F.col("n"), F.col("led.n")))
+        .select(*_ordered(F.col("node"), F.col("led.node")))
+        .distinct()
     )
-    pairs = F.transform(led, lambda x: F.struct(*_ordered(x["node"], F.col("least.leader"))))
-    return lists.select(F.inline(pairs))
-
-
-def _pairs_of_lists(rows: DataFrame) -> DataFrame:
-    """Pairs of alike sizes and different roots in lists of bounded length."""
-    lists = rows.groupBy("key").agg(F.collect_list(F.struct("node", "n", "root")).alias("members"))
-    pairs = F.transform(
-        "members",
-        lambda x, i: F.transform(
-            F.filter(
-                "members",
-                lambda y, j: (j > i) & (y["root"] != x["root"]) & _alike(x["n"], y["n"]),
-            ),
-            lambda y: F.struct(*_ordered(x["node"], y["node"])),
-        ),
+
+
+def _differ(x: str, y: str) -> Column:
+    """Cells in which the parities of two sets differ; never more than values not in common."""
+    return sum(
+        F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))) for i in range(ODD // 64)
     )
-    return lists.select(F.inline(F.flatten(pairs)))
-
-
-def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs of members and leaders, rows (key, node, n) of short lists, nodes of long lists."""
-    pairs, short, deep = [_small_pairs(classes)], [], None
-    at = F.sequence(F.lit(0), F.size("sketch") - RUNS[0])
-    rows = classes.filter("n >= 5").select(
-        "node",
-        "n",
-        F.inline(
-            F.transform(
-                at,
-                lambda i: F.struct(_run_key("sketch", i, RUNS[0]).alias("key"), i.alias("at")),
-            )
-        ),
+
+
+def _cells(name: str) -> list[Column]:
+    return [F.get("odd", F.lit(i)).alias(f"{name}{i}") for i in range(ODD // 64)]
+
+
+def _outside_pairs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members outside a list's main component with alike members of other components.
+
+    Sets x and y at similarity 0.8 have at most (x + y) / 9 values not in common, and no more
+    cells of different parity: the join's condition drops pairs above that and loses no link.
+    """
+    mixed = settle(
+        mixed.drop("listed").join(classes.select("node", *_cells("odd")), "node")
+    )
+    outside = mixed.filter("root != main").select(
+        "key",
+        F.col("node").alias("x"),
+        F.col("n").alias("nx"),
+        F.col("root").alias("rx"),
+        *(F.col(f"odd{i}").alias(f"x{i}") for i in range(ODD // 64)),
+    )
+    # A pair of two outside members comes up twice; it is made from its smaller root.
+    once = (F.col("rx") < F.col("root")) | (F.col("root") == F.col("main"))
+    near = 9 * _differ("x", "odd") <= F.col("nx") + F.col("n")
+    return (
+        outside.join(mixed, "key")
+        .filter((F.col("rx") != F.col("root")) & once & _alike(F.col("nx"), F.col("n")) & near)
+        .select(*_ordered(F.col("x"), F.col("node")))
+        .distinct()
     )
-    for level, length in enumerate(RUNS):
-        if level:
-            fits = F.col("at") + length <= F.least("n", F.lit(SKETCH))
-            pairs.append(_led(long_rows.filter(~fits)))
-            held = F.collect_list(F.struct("at", "leader", "m")).alias("held")
-            rows = (
-                long_rows.filter(fits)
-                .groupBy("node", "n")
-                .agg(held)
-                .join(classes.select("node", "sketch"), "node")
-                .select("node", "n", F.inline(_longer("held", "sketch", length)))
-            )
-        counts = rows.groupBy("key").agg(F.count("*").alias("listed")).filter("listed > 1")
-        shared = settle(rows.join(counts, "key", "left" if level else "inner"))
-        if level:
-            pairs.append(_led(shared.filter("listed IS NULL")))
-            shared = shared.drop("leader", "m")
-        short.append(shared.filter(F.col("listed") <= LIST).select("key", "node", "n"))
-        pairs.append(_stars_of_lists(short[-1]))
-        long_rows = shared.filter(F.col("listed") > LIST)
-        deep = long_rows.select("node").distinct() if deep is None else deep
-        if long_rows.isEmpty():
-            break
-        leaders = long_rows.groupBy("key").agg(_leader().alias("least"))
-        long_rows = settle(
-            long_rows.join(leaders, "key").select("key", "node", "n", "at", "least.leader", "least.m")
-        )
-    else:
-        pairs.append(_led(long_rows))
-    led = reduce(DataFrame.union, pairs).distinct()
-    return led, reduce(DataFrame.union, short), deep
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose union sketch has enough common values."""
+    """Pairs whose parities and union sketch allow a link."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     classes = classes.filter(maybe_among(nodes)(F.col("node")))
-    x = classes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
-    y = classes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
+    x = classes.select(
+        F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sketch_a"), *_cells("a")
+    )
+    y = classes.select(
+        F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sketch_b"), *_cells("b")
+    )
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
     common = F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), F.col("union"))
     return (
         pairs.join(x, "a")
         .join(y, "b")
+        .filter(9 * _differ("a", "b") <= F.col("na") + F.col("nb"))
         .withColumn("union", union)
         .filter(F.size(common) >= ESTIMATE * F.size("union"))
         .select("a", "b")
@@ -368,64 +412,6 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
-def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    return rows.join(roots, "node", "left").select(
-        "key", "node", "n", F.coalesce("root", "node").alias("root")
-    )
-
-
-def _rare_values(classes: DataFrame) -> DataFrame:
-    """(key, node, n): the rarest values of each sketch, of which every link shares one.
-
-    A pair that passes the union-sketch filter and the confirmation has ``needed`` values in
-    common, so in one order of all values (by frequency) the first common one is among the
-    first ``size - needed + 1`` of both. Values nobody shares take places but make no row.
-    """
-    values = classes.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("key"))
-    counts = values.groupBy("key").agg(F.count("*").alias("listed"))
-    # Sets below 52 shingles only link with sets that fit their sketch: the overlap is exact.
-    needed = F.when(F.col("n") < 52, F.ceil((4 * F.col("n")) / 5)).otherwise(
-        F.lit(math.ceil(ESTIMATE * SKETCH))
-    )
-    return (
-        values.join(counts, "key")
-        .groupBy("node", "n", "size")
-        .agg(F.array_sort(F.collect_list(F.struct("listed", "key"))).alias("held"))
-        .select("node", "n", F.inline(F.slice("held", 1, (F.col("size") - needed + 1).cast("int"))))
-        .filter("listed > 1")
-        .select("key", "node", "n")
-    )
-
-
-def _outside_pairs(rows: DataFrame) -> DataFrame:
-    """Members outside a list's main component with alike members of other components.
-
-    A pair inside a component needs no link; lists of one component are left out first.
-    """
-    mixed = settle(
-        rows.groupBy("key", "root")
-        .agg(F.count("*").alias("c"))
-        .groupBy("key")
-        .agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("most"))
-        .filter("roots > 1")
-        .select("key", F.col("most.root").alias("main"))
-    )
-    rows = rows.filter(maybe_among(mixed.select("key"))(F.col("key")))
-    outside = (
-        rows.join(mixed, "key")
-        .filter("root != main")
-        .select("key", "main", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    )
-    # A pair of two outside members comes up twice; it is made from its smaller root.
-    once = (F.col("rx") < F.col("root")) | (F.col("root") == F.col("main"))
-    return (
-        outside.join(rows, "key")
-        .filter((F.col("rx") != F.col("root")) & once & _alike(F.col("nx"), F.col("n")))
-        .select(*_ordered(F.col("x"), F.col("node")))
-        .distinct()
-    )
-
-
 def _rooted_classes(
     docs: DataFrame, width: int, id_column: str, text: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -439,6 +425,7 @@ def _rooted_classes(
             F.min("row_key").alias("row_key"),
             F.first("n_shingles").alias("n"),
             F.first("sketch").alias("sketch"),
+            F.first("odd").alias("odd"),
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
@@ -447,18 +434,22 @@ def _rooted_classes(
         sets = settle(_full_sets(likely, classes, docs, width, id_column, text))
         return settle(_confirmed(likely, sets))
 
-    led, short, deep = _candidates(classes)
-    links = confirmed(led)
-    roots = components(links)
-    rest = settle(_pairs_of_lists(_rooted(short, roots)).distinct())
-    if not rest.isEmpty():
-        links = settle(links.union(confirmed(rest)))
-        roots = components(links)
-    if not deep.isEmpty():
-        members = classes.join(deep, "node", "left_semi")
-        rest = settle(_outside_pairs(settle(_rooted(_rare_values(members), roots))))
-        if not rest.isEmpty():
-            roots = components(links.union(confirmed(rest)))
+    links = compared = None
+    roots = classes.select("node", F.col("node").alias("root")).limit(0)
+    lists = settle(_shared_rows(classes))
+    for turn in range(TURNS + 1):
+        # A list whose members are one component is done; the others lose no member.
+        lists = settle(_mixed(lists, roots))
+        if lists.isEmpty():
+            break
+        pairs = settle(_led(lists, turn) if turn < TURNS else _outside_pairs(lists, classes))
+        if compared is not None:
+            pairs = settle(pairs.join(compared, ["a", "b"], "left_anti"))
+        compared = pairs if compared is None else compared.union(pairs)
+        found = confirmed(pairs)
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            roots = settle(components(links))
     return base, classes.join(roots, "node", "left").select(
         "set_key", "first_id", F.coalesce("root", "node").alias("root")
     )

@@ -131,7 +131,7 @@ def test_components_equal_brute_force(spark, odd_docs, width, seed):
 
     texts = []
     base = draw.choices(vocabulary, k=150)
-    texts += [edited(base, draw.choice([0.01, 0.02, 0.03])) for _ in range(3 * neardup.LIST)]
+    texts += [edited(base, draw.choice([0.01, 0.02, 0.03])) for _ in range(96)]
     for _ in range(30):
         words = draw.choices(vocabulary, k=draw.choice([2, 4, 5, 6, 7, 12, 60, 200]))
         for _ in range(draw.randint(1, 5)):

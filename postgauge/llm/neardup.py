@@ -11,7 +11,7 @@ start in the rare part only: a passage that many texts share makes no list unles
 of a text. Sets below ``EXACT`` shingles that are linked share such a run for certain: the
 values not in common are at most a fifth of the union, each breaks at most one run, so a
 common run starts in the first two fifths. A larger set starts runs at ``STARTS`` places;
-the chance that a pair at similarity 0.8 shares none is below 1e-7.
+the chance that a pair at similarity 0.8 shares none is estimated at about 1e-7, not proved.
 
 Members of a list first meet two leaders: the member in most lists, which is the least
 edited one of a family, and such a one outside the list's largest component; in the second

@@ -1,6 +1,7 @@
 """The stacked solver, proofs of optimality and statistics shared by configurations."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -71,6 +72,39 @@ def test_all_problems_reach_their_own_optimum(spark, rows, monkeypatch, values):
         assert np.abs(last).max() <= 1.01e-7 * np.abs(first).max()
 
 
+def test_blocks_hold_one_fold_and_left_out_ones_cost_nothing(rows, monkeypatch):
+    x, y, fold = matrix(rows)
+    packed = [(0, *map(bytes, block)) for block in L.packed_rows(rows, "vector", "y", "fold").collect()]
+    blocks = [L._Block(block[1:]) for block in packed]
+    assert all(len(set(block.fold.tolist())) == 1 for block in blocks)
+    assert all(block.idx.dtype == np.intp for block in blocks)
+    assert sum(len(block.y) for block in blocks) == 240
+    products = []
+    times = L._Block._times
+    monkeypatch.setattr(L._Block, "_times", lambda self, *a: (products.append(self.fold[0]), times(self, *a))[1])
+    problem = iterative_problem("linear_svm", (100, 140), Settings(), 12, held_out=2)
+    point = np.linspace(-0.3, 0.3, 13)
+    found = L._answers([problem], [], {0: (point, None)}, packed)[0]
+    assert products and 2 not in products
+    shrunk = problem.objective.penalty * point
+    wanted = gradient(problem, x, y, fold, point) - shrunk
+    assert np.allclose(shrunk + problem.objective.factor * found[1:] - shrunk, wanted)
+
+
+def test_rows_without_values_keep_their_place():
+    row = {"indices": [[], [0, 2], [], [1], []], "vals": [[], [1.0, 2.0], [], [3.0], []], "y": [1, 0, 0, 1, 0]}
+    batch = pa.record_batch(
+        [
+            pa.array(row["indices"], pa.list_(pa.int32())), pa.array(row["vals"], pa.list_(pa.float64())),
+            pa.array(row["y"], pa.float64()), pa.array([0] * 5, pa.int32()),
+        ],
+        names=["indices", "vals", "y", "fold"],
+    )
+    (packed,) = L._pack_blocks(iter([batch]))
+    block = L._Block([column[0].as_py() for column in packed.columns])
+    assert block._times(block.val, np.array([1.0, 10.0, 100.0, 0.5])).tolist() == [0.5, 201.5, 0.5, 30.5, 0.5]
+
+
 def test_passes_are_those_of_the_slowest(rows, monkeypatch):
     asked = []
     solver = L.newton

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.llm.common import SPACED, Words, maybe_among, mix64, text_slices, without_ids
-from postgauge.session import settle
+from postgauge.session import settle_alone
 
 #: Values kept per sketch.
 SKETCH = 64
@@ -61,6 +61,8 @@ STARTS = 36
 ODD = 1024
 #: Rounds in which members of a list meet leaders only.
 TURNS = 2
+#: Links that are worth a task.
+TASK_LINKS = 100_000
 #: Share of common values in the union sketch below which a candidate is not confirmed.
 ESTIMATE = 0.5
 
@@ -175,7 +177,8 @@ def _frequencies(classes: DataFrame) -> np.ndarray:
         .select("part", F.transform("held", lambda h: h["level"] * 4096 + h["col1"]).alias("held"))
     )
     levels = np.zeros(CELLS, np.uint8)
-    for part, held in counted.toLocalIterator():
+    # A job for each partition: a few suffice for this many rows.
+    for part, held in counted.coalesce(8).toLocalIterator():
         packed = np.asarray(held, np.int64)
         levels[part * 4096 + packed % 4096] = packed // 4096
     return levels
@@ -219,7 +222,7 @@ def _shared_rows(classes: DataFrame) -> DataFrame:
     """
     rows = _run_rows(classes)
     shared = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    rows = settle(rows.join(shared, "key"))
+    rows = settle_alone(rows.join(shared, "key"))
     return rows.join(rows.groupBy("node").agg(F.count("*").alias("listed")), "node")
 
 
@@ -281,7 +284,7 @@ def _outside_pairs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     Sets x and y at similarity 0.8 have at most (x + y) / 9 values not in common, and no more
     cells of different parity: the join's condition drops pairs above that and loses no link.
     """
-    mixed = settle(
+    mixed = settle_alone(
         mixed.drop("listed").join(classes.select("node", *_cells("odd")), "node")
     )
     outside = mixed.filter("root != main").select(
@@ -343,7 +346,7 @@ def _full_sets(
             )
             yield out.filter(pa.array([v is not None for v in values], pa.bool_()))
 
-    named = settle(named)
+    named = settle_alone(named)
     texts = _keyed(docs, id_column, text).drop("doc_id")
     texts = texts.filter(maybe_among(named.select("row_key"))(F.col("row_key")))
     return (
@@ -378,13 +381,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _unfinished(links: DataFrame) -> int:
-    """Nodes with several links, or with a link from and a link to another."""
+def _unfinished(links: DataFrame) -> tuple[int, int]:
+    """Nodes with several links, or with a link from and a link to another; and all links."""
     roles = links.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(
         links.select("v", F.lit(0), F.lit(1))
     )
     found = roles.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
-    return found.agg(F.count_if(F.expr("child > 1 OR (child > 0 AND parent > 0)"))).first()[0]
+    open_nodes = F.count_if(F.expr("child > 1 OR (child > 0 AND parent > 0)"))
+    return tuple(found.agg(open_nodes, F.coalesce(F.sum("child"), F.lit(0))).first())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -394,8 +398,13 @@ def components(links: DataFrame) -> DataFrame:
     one. Each step joins the links with the smallest neighbour of a node, which is a
     combinable minimum.
     """
-    links = settle(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    while _unfinished(links):
+    links = settle_alone(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    while True:
+        unfinished, count = _unfinished(links)
+        # A task gets about so many links at least: below that, its files take more than they hold.
+        links = links.coalesce(-(-count // TASK_LINKS) or 1)
+        if not unfinished:
+            break
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = (
@@ -403,7 +412,7 @@ def components(links: DataFrame) -> DataFrame:
         ).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        links = settle(
+        links = settle_alone(
             small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v")))
             .distinct()
@@ -416,8 +425,8 @@ def _rooted_classes(
     docs: DataFrame, width: int, id_column: str, text: str
 ) -> tuple[DataFrame, DataFrame]:
     """The sketches of all rows, and (set_key, first_id, root) of every class with shingles."""
-    base = settle(sketches(docs, width, id_column, text))
-    classes = settle(
+    base = settle_alone(sketches(docs, width, id_column, text))
+    classes = settle_alone(
         base.filter("n_shingles > 0")
         .groupBy("set_key")
         .agg(
@@ -430,26 +439,26 @@ def _rooted_classes(
         .withColumn("node", F.monotonically_increasing_id())
     )
     def confirmed(pairs: DataFrame) -> DataFrame:
-        likely = settle(_estimated(settle(pairs), classes))
-        sets = settle(_full_sets(likely, classes, docs, width, id_column, text))
-        return settle(_confirmed(likely, sets))
+        likely = settle_alone(_estimated(settle_alone(pairs), classes))
+        sets = settle_alone(_full_sets(likely, classes, docs, width, id_column, text))
+        return settle_alone(_confirmed(likely, sets))
 
     links = compared = None
     roots = classes.select("node", F.col("node").alias("root")).limit(0)
-    lists = settle(_shared_rows(classes))
+    lists = settle_alone(_shared_rows(classes))
     for turn in range(TURNS + 1):
         # A list whose members are one component is done; the others lose no member.
-        lists = settle(_mixed(lists, roots))
+        lists = settle_alone(_mixed(lists, roots))
         if lists.isEmpty():
             break
-        pairs = settle(_led(lists, turn) if turn < TURNS else _outside_pairs(lists, classes))
+        pairs = settle_alone(_led(lists, turn) if turn < TURNS else _outside_pairs(lists, classes))
         if compared is not None:
-            pairs = settle(pairs.join(compared, ["a", "b"], "left_anti"))
+            pairs = settle_alone(pairs.join(compared, ["a", "b"], "left_anti"))
         compared = pairs if compared is None else compared.union(pairs)
         found = confirmed(pairs)
         if not found.isEmpty():
             links = found if links is None else links.union(found)
-            roots = settle(components(links))
+            roots = settle_alone(components(links))
     return base, classes.join(roots, "node", "left").select(
         "set_key", "first_id", F.coalesce("root", "node").alias("root")
     )
@@ -485,7 +494,7 @@ def one_per_group(
     """The documents that name their component, with their own columns; null ids stay."""
     found = near_duplicates(docs, width, id_column, text)
     gone = found.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return without_ids(docs, settle(gone), id_column)
+    return without_ids(docs, settle_alone(gone), id_column)
 
 
 def one_row_per_group(
@@ -499,7 +508,7 @@ def one_row_per_group(
     base, rooted = _rooted_classes(docs, width, id_column, text)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))
     firsts = base.filter("n_shingles > 0").groupBy("set_key").agg(F.min(order).alias("first"))
-    chosen = settle(
+    chosen = settle_alone(
         firsts.join(rooted, "set_key")
         .groupBy("root")
         .agg(F.min("first").alias("first"))

@@ -49,3 +49,19 @@ def settle(frame: DataFrame) -> DataFrame:
     """Store a result that several later jobs read, so none of them repeats its work."""
     ensure_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def settle_alone(frame: DataFrame) -> DataFrame:
+    """As ``settle``; the shuffle files behind the result go as soon as it is stored.
+
+    Otherwise they stay until the driver happens to collect its garbage, so jobs of many small
+    steps pile up the files of all of them. A plan is told so when it is made, hence the select.
+    """
+    conf = frame.sparkSession.conf
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return settle(frame.select("*"))
+    finally:
+        conf.set(name, before)

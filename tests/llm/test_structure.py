@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -239,3 +240,20 @@ def test_pipeline_filters_decide_by_row(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10, 11]
     assert neardup.one_row_per_group(no_docs).count() == leaks.clean_rows(no_docs, bench).count() == 0
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    def files():
+        held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(i).getName() for i in range(held.size()) if "shuffle" in held.apply(i).getName()}
+
+    before = files()
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    stored = neardup.settle_alone(links.groupBy((F.col("a") % 7).alias("k")).agg(F.sum("b").alias("n")))
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert stored.count() == 7
+    assert {r["root"] for r in neardup.components(links).collect()} == {0}

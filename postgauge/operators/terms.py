@@ -31,6 +31,8 @@ def term_occurrences(docs: DataFrame, spec: FeatureSpec, keys: Sequence[str]) ->
 DOCUMENT = 0
 #: Characters of text that are counted at once inside a task, about.
 SLICE_CHARS = 2_000_000
+#: Documents whose character n-grams are counted at once, in cells for every term.
+DOCS = 64
 #: Marks (word, document) that are held at once inside a task.
 MARKS = 1 << 24
 #: Cells that bound the counts of word runs from above, and cells of a shuffled row.
@@ -152,6 +154,112 @@ def _char_counts(texts: pa.Array, uses: dict[int, int]) -> Iterator[tuple]:
         yield bits, pa.array(terms, pa.string()), df, tf
 
 
+class GramTable:
+    """Character n-grams of a vocabulary, found in words by hash and compared in full."""
+
+    def __init__(self, terms: Sequence[str]):
+        self.size = len(terms)
+        self.by_length: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        lengths = np.array([len(term) for term in terms])
+        for n in sorted(set(lengths.tolist())):
+            places = np.flatnonzero(lengths == n)
+            points = _points("".join(terms[i] for i in places)).reshape(-1, n)
+            hashes = _gram_hashes(points)
+            order = np.argsort(hashes, kind="stable")
+            self.by_length.append((n, hashes[order], points[order], places[order]))
+
+    def found(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ends, places): the vocabulary's places of every gram of each word, one after the other.
+
+        ``places[ends[i] : ends[i + 1]]`` are those of word i, repeated as often as they occur.
+        """
+        points = _points(" ".join(["", *words.to_pylist(), ""]))
+        space = points == ord(" ")
+        word = np.cumsum(space) - 1
+        owners, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n, hashes, known, numbers in self.by_length:
+            inside = np.ones(max(0, len(points) - n + 1), bool)
+            for i in range(1, n - 1):
+                inside &= ~space[i : len(inside) + i]
+            at = np.flatnonzero(inside)
+            grams = points[at[:, None] + np.arange(n)]
+            wanted = _gram_hashes(grams)
+            spot, last = np.searchsorted(hashes, wanted), np.searchsorted(hashes, wanted, side="right")
+            # Terms of one hash stand together; there is nearly always one.
+            for step in range(int((last - spot).max(initial=0))):
+                may = np.flatnonzero(spot + step < last)
+                may = may[(known[spot[may] + step] == grams[may]).all(axis=1)]
+                owners.append(word[at[may] + space[at[may]]])
+                places.append(numbers[spot[may] + step])
+        owner, place = np.concatenate(owners), np.concatenate(places)
+        order = np.argsort(owner, kind="stable")
+        ends = np.searchsorted(owner[order], np.arange(len(words) + 1))
+        return ends, place[order]
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def _gram_hashes(grams: np.ndarray) -> np.ndarray:
+    mixed = np.zeros(len(grams), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(grams.shape[1]):
+            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + grams[:, i] + np.uint64(1)
+            mixed ^= mixed >> np.uint64(29)
+    return mixed
+
+
+def gram_vectors(texts: pa.Array, table: GramTable) -> pa.Array:
+    """Sparse count vectors of texts; every distinct word of a slice is cut up once."""
+    texts = pc.fill_null(texts, "")
+    group = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // SLICE_CHARS
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    parts = [_slice_vectors(texts.slice(a, b - a), table) for a, b in zip(edges, edges[1:], strict=False)]
+    return pa.concat_arrays(parts)
+
+
+def _slice_vectors(texts: pa.Array, table: GramTable) -> pa.Array:
+    rows, size = len(texts), table.size
+    words, codes, doc = _coded(texts)
+    held, counts = np.zeros(0, np.int64), np.zeros(0)
+    if len(codes):
+        ends, places = table.found(words)
+        pairs, times = np.unique(doc * len(words) + codes, return_counts=True)
+        of, code = pairs // len(words), pairs % len(words)
+        kept_keys, kept_counts = [], []
+        grams = np.diff(ends)[code]
+        for low, high in _runs(of):
+            many = grams[low:high]
+            total = int(many.sum())
+            inner = np.arange(total) - np.repeat(np.cumsum(many) - many, many)
+            place = places[np.repeat(ends[code[low:high]], many) + inner]
+            first = int(of[low])
+            keys = np.repeat(of[low:high] - first, many) * size + place
+            sums = np.bincount(keys, np.repeat(times[low:high], many))
+            found = np.flatnonzero(sums)
+            kept_keys.append(found + first * size)
+            kept_counts.append(sums[found])
+        held, counts = np.concatenate(kept_keys), np.concatenate(kept_counts)
+    offsets = pa.array(np.searchsorted(held, np.arange(rows + 1) * size), pa.int32())
+    return pa.StructArray.from_arrays(
+        [
+            pa.array(np.zeros(rows, np.int8)),
+            pa.array(np.full(rows, size, np.int32)),
+            pa.ListArray.from_arrays(offsets, pa.array((held % size).astype(np.int32))),
+            pa.ListArray.from_arrays(offsets, pa.array(counts)),
+        ],
+        ["type", "size", "indices", "values"],
+    )
+
+
+def _runs(of: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of whole documents with ``DOCS`` documents at most."""
+    edges = np.flatnonzero(np.diff(of // DOCS)) + 1
+    bounds = [0, *edges.tolist(), len(of)]
+    yield from zip(bounds, bounds[1:], strict=False)
+
+
 def _documents(codes: np.ndarray, doc: np.ndarray, words: int, held: np.ndarray, first: np.ndarray) -> np.ndarray:
     """In how many documents any word of a group is; groups start at ``first`` in ``held``."""
     df = np.zeros(len(first), np.int64)

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,10 @@ from postgauge.config import FeatureSpec
 from postgauge.functions import text as X
 from postgauge.operators.terms import (
     NORMALIZED,
+    GramTable,
     check_limits,
     counted_documents,
+    gram_vectors,
     kept_terms,
     most_frequent,
     of_spec,
@@ -39,6 +42,17 @@ def count_vectorizer(
     return model.setInputCol(input_col).setOutputCol(output_col)
 
 
+def gram_counter(spark: SparkSession, terms: list[str], text: Column) -> Column:
+    """Count vector of the character n-grams of a text, over a given vocabulary."""
+    table = spark.sparkContext.broadcast(GramTable(terms))
+
+    @F.arrow_udf(VectorUDT())
+    def counted(texts: pa.Array) -> pa.Array:
+        return gram_vectors(texts, table.value)
+
+    return counted(text)
+
+
 def scaled(frame: DataFrame, source: str, target: str, factors: np.ndarray) -> DataFrame:
     """Multiply a vector column by one factor per position."""
     return ElementwiseProduct(
@@ -72,6 +86,8 @@ class TfidfModel:
 
     def counts(self, docs: DataFrame, target: str = "counts") -> DataFrame:
         """Add the term-count vector of the normalised text."""
+        if self.spec.analyzer == "char_wb":
+            return docs.withColumn(target, gram_counter(docs.sparkSession, self.terms, F.col(NORMALIZED)))
         model = count_vectorizer(docs.sparkSession, self.terms, "_terms", target)
         tokens = docs.withColumn("_terms", X.terms(F.col(NORMALIZED), self.spec))
         return model.transform(tokens).drop("_terms")

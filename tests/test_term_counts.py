@@ -3,12 +3,15 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from postgauge.config import FeatureSpec
+from postgauge.functions import text as X
 from postgauge.operators import terms as T
+from postgauge.operators.tfidf import TfidfModel, count_vectorizer
 
 
 def char_grams(text):
@@ -79,3 +82,20 @@ def test_floor_is_lowered_until_the_vocabulary_is_full(posts, monkeypatch):
         for stats in (T.vocabulary_statistics(posts, [spec]), full)
     ]
     assert sorted(map(tuple, found[0])) == sorted(map(tuple, found[1])) and len(found[0]) == 900
+
+
+def test_character_vectors_equal_the_library_count(spark, monkeypatch):
+    monkeypatch.setattr(T, "SLICE_CHARS", 40)
+    spec = FeatureSpec("c", "char_wb", 3, 5, 100, 1, 1.0)
+    texts = ["ab abc abc", "", "a", "ñandú 😀x😀 ab", "zz " * 70 + "q", "x  y", "𝒳𝒴𝒵"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 20)], "i int, normalized string")
+    grams = sorted({r[0] for r in docs.select(F.explode(X.terms(F.col("normalized"), spec))).collect()})
+    known = [g for k, g in enumerate(grams) if k % 4]
+    model = TfidfModel(spec, 1, known, np.ones(len(known)), np.ones(len(known)))
+    library = count_vectorizer(spark, known, "_terms", "want")
+    rows = library.transform(model.counts(docs).withColumn("_terms", X.terms(F.col("normalized"), spec)))
+    found = rows.select("counts", "want").collect()
+    assert len(found) == 140 and any(r["want"].numNonzeros() for r in found)
+    assert all(r["counts"] == r["want"] for r in found)
+    plan = model.counts(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan

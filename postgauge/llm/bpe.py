@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-import json
 from collections.abc import Iterator
 from itertools import chain
 
@@ -31,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
+from postgauge.memory import give_back
+
 #: Pieces a task remembers; the memory is emptied when full, which costs only time.
 PIECES_KEPT = 400_000
 #: Characters read at once from one text.
@@ -81,11 +82,13 @@ class Codec:
         self.pattern = regex.compile(pattern)
         bytes_of = {c: b for b, c in enumerate(byte_characters())}
         self.characters = {b: ord(c) for c, b in bytes_of.items()}
-        vocab = json.loads(description)["model"]["vocab"]
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         self.token_bytes = [b""] * (max(vocab.values(), default=-1) + 1)
         for token, rank in vocab.items():
             self.token_bytes[rank] = bytes(bytes_of[c] for c in token)
-        self.known: dict[str, list[int]] = {}
+        #: One object for each id, shared by all pieces that are remembered.
+        self.numbers = list(range(len(self.token_bytes)))
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def parts(self, text: str) -> Iterator[str]:
         """The text in parts; a cut lies between a letter and the space before another."""
@@ -107,10 +110,10 @@ class Codec:
             new = list(pieces)
         spelled = [p.encode().decode("latin-1").translate(self.characters) for p in new]
         found = self.tokenizer.encode(spelled, is_pretokenized=True, add_special_tokens=False)
-        ids = found.ids
+        ids = list(map(self.numbers.__getitem__, found.ids))
         at = np.searchsorted(np.array(found.word_ids), np.arange(len(new) + 1)).tolist()
         for piece, start, end in zip(new, at, at[1:], strict=False):
-            self.known[piece] = ids[start:end]
+            self.known[piece] = tuple(ids[start:end])
 
     def encode_many(self, texts: list[str | None]) -> Iterator[list[int]]:
         """Ids of each text."""
@@ -153,12 +156,16 @@ class Codec:
 
 
 def _codec(description, pattern: str) -> Codec:
-    return Codec(description.value, pattern)
+    codec = Codec(description.value, pattern)
+    # Reading the description frees several times its size.
+    give_back()
+    return codec
 
 
 def _uncollected(run):
     """Pause the collector while a task runs: the remembered pieces are many objects without
-    cycles. The worker may serve other operators later, so it is turned on again."""
+    cycles. The worker may serve other operators later, so it is turned on again and the
+    memory of the task is given back."""
 
     def paused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         was = gc.isenabled()
@@ -168,6 +175,8 @@ def _uncollected(run):
         finally:
             if was:
                 gc.enable()
+            gc.collect()
+            give_back()
 
     return paused
 

@@ -39,7 +39,7 @@ the id and the text are read. One text must fit a task.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.llm.common import SPACED, Words, maybe_among, mix64, text_slices, without_ids
+from postgauge.memory import give_back
 from postgauge.session import settle_alone
 
 #: Values kept per sketch.
@@ -61,6 +62,9 @@ STARTS = 36
 ODD = 1024
 #: Rounds in which members of a list meet leaders only.
 TURNS = 2
+#: Bytes of text and rows handled at once inside a task; their arrays are many times as large.
+SLICE_BYTES = 1 << 18
+SLICE_ROWS = 1 << 10
 #: Links that are worth a task.
 TASK_LINKS = 100_000
 #: Share of common values in the union sketch below which a candidate is not confirmed.
@@ -73,7 +77,7 @@ def shingle_sets(
     column: pa.Array, width: int
 ) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text, as signed 64-bit numbers."""
-    for _, _, data, offsets in text_slices(column):
+    for _, _, data, offsets in text_slices(column, SLICE_BYTES):
         words = Words(data, offsets, SPACED)
         hashes = words.hashes
         folded = hashes.copy()
@@ -99,6 +103,20 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
 
 
+def _by_slices(
+    run: Callable[[pa.RecordBatch], pa.RecordBatch],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for a few rows at a time; what a task no longer needs leaves its worker."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                yield run(batch.slice(at, SLICE_ROWS))
+        give_back()
+
+    return sliced
+
+
 def _key(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
@@ -118,28 +136,28 @@ def sketches(
     ``set_key`` is a digest of the whole set, ``odd`` its ``ODD`` parity bits.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, keys, kept, odd = [], [], [], []
-            for values in shingle_sets(batch.column(2), width):
-                sizes.append(len(values))
-                keys.append(_key(values))
-                kept.append(values[:SKETCH])
-                odd.append(_odd(values))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(keys, pa.binary()),
-                    _lists(kept),
-                    _lists(odd),
-                ],
-                names=["doc_id", "row_key", "n_shingles", "set_key", "sketch", "odd"],
-            )
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, keys, kept, odd = [], [], [], []
+        for values in shingle_sets(batch.column(2), width):
+            sizes.append(len(values))
+            keys.append(_key(values))
+            # A view would keep the whole set.
+            kept.append(values[:SKETCH].copy())
+            odd.append(_odd(values))
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array(sizes, pa.int64()),
+                pa.array(keys, pa.binary()),
+                _lists(kept),
+                _lists(odd),
+            ],
+            names=["doc_id", "row_key", "n_shingles", "set_key", "sketch", "odd"],
+        )
 
     return _keyed(docs, id_column, text).mapInArrow(
-        run,
+        _by_slices(run),
         "doc_id long, row_key long, n_shingles long, set_key binary, sketch array<long>, odd array<long>",
     )
 
@@ -188,30 +206,29 @@ def _run_rows(classes: DataFrame) -> DataFrame:
     """(key, node, n): runs of two neighbouring values in the rare part of each sketch."""
     sent = classes.sparkSession.sparkContext.broadcast(_frequencies(classes))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(2)
-            ends = np.asarray(lists.offsets, np.int64)
-            values = np.asarray(lists.values, np.int64)[ends[0] : ends[-1]]
-            ends = ends - ends[0]
-            sizes = np.diff(ends)
-            rows = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.lexsort((values, sent.value[values % CELLS], rows))
-            hashes = mix64(values[order].view(np.uint64))
-            starts = np.where(sizes < EXACT, 2 * sizes // 5 + 1, STARTS)
-            place = np.arange(len(values)) - ends[rows]
-            first = np.flatnonzero((place < starts[rows]) & (place + 1 < sizes[rows]))
-            with np.errstate(over="ignore"):
-                keys = mix64(hashes[first] * _STEP + hashes[first + 1]).view(np.int64)
-            at = rows[first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), batch.column(0).take(at), batch.column(1).take(at)],
-                names=["key", "node", "n"],
-            )
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column(2)
+        ends = np.asarray(lists.offsets, np.int64)
+        values = np.asarray(lists.values, np.int64)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        sizes = np.diff(ends)
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((values, sent.value[values % CELLS], rows))
+        hashes = mix64(values[order].view(np.uint64))
+        starts = np.where(sizes < EXACT, 2 * sizes // 5 + 1, STARTS)
+        place = np.arange(len(values)) - ends[rows]
+        first = np.flatnonzero((place < starts[rows]) & (place + 1 < sizes[rows]))
+        with np.errstate(over="ignore"):
+            keys = mix64(hashes[first] * _STEP + hashes[first + 1]).view(np.int64)
+        at = rows[first]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys), batch.column(0).take(at), batch.column(1).take(at)],
+            names=["key", "node", "n"],
+        )
 
     return (
         classes.filter("n >= 4").select("node", "n", "sketch")
-        .mapInArrow(run, "key long, node long, n long")
+        .mapInArrow(_by_slices(run), "key long, node long, n long")
     )
 
 
@@ -334,17 +351,16 @@ def _full_sets(
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     named = wanted.join(classes.select("node", "set_key", "row_key"), "node")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(1).to_pylist()
-            values = [
-                v.tobytes() if _key(v) == k else None
-                for v, k in zip(shingle_sets(batch.column(2), width), keys, strict=True)
-            ]
-            out = pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values, pa.binary())], names=["node", "values"]
-            )
-            yield out.filter(pa.array([v is not None for v in values], pa.bool_()))
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = batch.column(1).to_pylist()
+        values = [
+            v.tobytes() if _key(v) == k else None
+            for v, k in zip(shingle_sets(batch.column(2), width), keys, strict=True)
+        ]
+        out = pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(values, pa.binary())], names=["node", "values"]
+        )
+        return out.filter(pa.array([v is not None for v in values], pa.bool_()))
 
     named = settle_alone(named)
     texts = _keyed(docs, id_column, text).drop("doc_id")
@@ -354,7 +370,7 @@ def _full_sets(
         .groupBy("row_key", "node")
         .agg(F.first("set_key").alias("set_key"), F.first("text").alias("text"))
         .select("node", "set_key", "text")
-        .mapInArrow(run, "node long, values binary")
+        .mapInArrow(_by_slices(run), "node long, values binary")
     )
 
 

@@ -5,9 +5,11 @@ import os
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -93,6 +95,33 @@ def test_codec_on_random_text_and_parts(monkeypatch):
         assert all(text[a:b].encode().find(codec.token_bytes[i]) >= 0 for i, a, b in zip(ids, starts, ends, strict=True))
 
 
+def held_by(work):
+    """Bytes that ``work`` takes at most, and that its result holds."""
+    tracemalloc.start()
+    try:
+        result = work()
+        return tracemalloc.get_traced_memory()[::-1], result
+    finally:
+        tracemalloc.stop()
+
+
+def test_remembered_pieces_are_small():
+    codec = bpe.Codec(bpe.tokenizer_json(bpe.read_ranks(RANKS)), public_tokenizers.PATTERN)
+    pieces = {f" qz{i}x{i * 7919 % 10007}" for i in range(20_000)}
+    (_, held), _ = held_by(lambda: codec.learn(pieces))
+    assert len(codec.known) == 20_000 and held < 200 * 20_000
+    numbers = {id(n) for ids in codec.known.values() for n in ids}
+    assert len(numbers) == len({n for ids in codec.known.values() for n in ids})
+
+
+def test_sets_of_many_texts_take_little_memory():
+    draw = random.Random(8)
+    texts = pa.array([" ".join(f"w{draw.randrange(9999)}" for _ in range(300)) for _ in range(1500)])
+    assert texts.nbytes > 2 * neardup.SLICE_BYTES
+    (most, _), sizes = held_by(lambda: [len(v) for v in neardup.shingle_sets(texts, 2)])
+    assert len(sizes) == 1500 and most < 64 * neardup.SLICE_BYTES
+
+
 def shingles(text, width):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     if len(words) < width:

@@ -17,11 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from postgauge.memory import give_back
+
 #: Stored values of a block, about; a block holds whole rows, and its products fit a core's cache.
 BLOCK_VALUES = 1 << 16
 #: Stored values that are worth a task.
@@ -66,19 +67,23 @@ def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list[pa.RecordBatch]] = {}
     values: dict[int, int] = {}
     for batch in batches:
-        folds = batch.column("fold")
-        for fold in folds.unique().to_pylist():
-            rows = batch.filter(pc.equal(folds, fold))
-            lengths = np.diff(rows.column("vals").offsets.to_numpy())
+        folds = batch.column("fold").to_numpy()
+        sizes = np.diff(batch.column("vals").offsets.to_numpy())
+        for fold in dict.fromkeys(folds.tolist()):
+            # Only rows of one block are copied at a time, and what is held back keeps no batch.
+            rows = np.flatnonzero(folds == fold)
+            lengths = sizes[rows]
             start = 0
             for end in _cuts(lengths, values.get(fold, 0)):
-                yield _packed([*held.pop(fold, []), rows.slice(start, end - start)])
+                yield _packed([*held.pop(fold, []), batch.take(pa.array(rows[start:end]))])
                 values[fold], start = 0, end
-            if start < rows.num_rows:
-                held.setdefault(fold, []).append(rows.slice(start))
+            if start < len(rows):
+                held.setdefault(fold, []).append(batch.take(pa.array(rows[start:])))
                 values[fold] = values.get(fold, 0) + int(lengths[start:].sum())
     for parts in held.values():
         yield _packed(parts)
+    held.clear()
+    give_back()
 
 
 def _cuts(lengths: np.ndarray, before: int) -> list[int]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from postgauge.config import FeatureSpec
 from postgauge.functions import text as X
+from postgauge.memory import give_back
 from postgauge.session import settle
 
 NORMALIZED = "normalized"
@@ -306,6 +307,7 @@ def _counted_parts(
                 if char_uses:
                     counts += _char_counts(part.column("text"), char_uses)
                 yield _one_row(part.column("fold")[0], counts)
+        give_back()
 
     lists = "groups array<struct<uses int, counts array<struct<term string, df bigint, tf bigint>>>>"
     groups = texts.mapInArrow(run, f"fold int, {lists}").select("fold", F.inline("groups"))

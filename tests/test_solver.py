@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -183,3 +184,28 @@ def test_grid_fits_equal_single_fits(spark, docs):
             train = one.tfidf(one.counts.where(F.col("fold") != 2), 2)
             alone = fit_classifier(train, "tfidf", Settings(classifier=classifier), len(one.terms))
             assert np.allclose(fits[classifier, name, 2].weights, alone.weights, atol=1e-4)
+
+
+def test_packing_copies_a_block_at_a_time():
+    """Beside the batch itself, packing holds no more than some blocks."""
+    rows, width = 10_000, 100
+    ends = pa.array(np.arange(rows + 1) * width, pa.int32())
+    places = pa.array(np.tile(np.arange(width, dtype=np.int32), rows))
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.ListArray.from_arrays(ends, places),
+            pa.ListArray.from_arrays(ends, pa.array(np.random.default_rng(5).random(rows * width))),
+            pa.array(np.arange(rows) % 3 > 0, pa.bool_()).cast(pa.float64()),
+            pa.array(np.arange(rows) // 7 % 2, pa.int32()),
+        ],
+        names=["indices", "vals", "y", "fold"],
+    )
+    start, most, found = pa.total_allocated_bytes(), 0, []
+    for block in L._pack_blocks(iter([batch])):
+        most = max(most, pa.total_allocated_bytes() - start)
+        found.append((np.frombuffer(block["fold"][0].as_py(), np.int32), np.frombuffer(block["val"][0].as_py())))
+    assert most < batch.nbytes / 2
+    for fold in (0, 1):
+        values = np.concatenate([v for folds, v in found if folds[0] == fold])
+        own = batch.filter(pc.equal(batch["fold"], fold))["vals"].flatten().to_numpy()
+        assert (values == own).all()

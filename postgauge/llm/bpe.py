@@ -36,7 +36,7 @@ from postgauge.memory import give_back
 PIECES_KEPT = 400_000
 #: Characters read at once from one text.
 PART_CHARS = 1 << 20
-#: Texts whose new pieces go to the library in one call.
+#: Texts whose new pieces go to the library in one call, if they have ``PART_CHARS`` at most.
 TEXTS_AT_ONCE = 128
 
 _CUT = regex.compile(r"(?<=\p{L})(?= \p{L})")
@@ -117,16 +117,30 @@ class Codec:
 
     def encode_many(self, texts: list[str | None]) -> Iterator[list[int]]:
         """Ids of each text."""
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            some = texts[at : at + TEXTS_AT_ONCE]
-            short = [i for i, t in enumerate(some) if t and len(t) <= PART_CHARS // 8]
-            split = {i: self.pattern.findall(some[i]) for i in short}
-            self.learn(set().union(*split.values()))
-            for i, text in enumerate(some):
-                if i in split:
-                    yield self._joined(split.pop(i))
-                else:
-                    yield self.encode(text)
+        for start, end in self._groups(texts):
+            if end - start == 1:
+                yield self.encode(texts[start])
+                continue
+            split = [self.pattern.findall(text or "") for text in texts[start:end]]
+            self.learn(set().union(*split))
+            yield from map(self._joined, split)
+
+    @staticmethod
+    def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+        """Ranges of texts whose pieces are learned in one call.
+
+        Learning may empty the memory, so a group is joined before others are learned: a
+        text too long to be learned with others is a group of its own.
+        """
+        start = held = 0
+        for end, text in enumerate(texts):
+            size = len(text or "")
+            if end > start and (end - start == TEXTS_AT_ONCE or held + size > PART_CHARS):
+                yield start, end
+                start, held = end, 0
+            held += size
+        if texts:
+            yield start, len(texts)
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []

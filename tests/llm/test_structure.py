@@ -114,6 +114,20 @@ def test_remembered_pieces_are_small():
     assert len(numbers) == len({n for ids in codec.known.values() for n in ids})
 
 
+def test_long_text_among_short_ones_when_the_memory_is_full(monkeypatch):
+    """The long text's pieces empty the memory; the short ones after it are still joined."""
+    codec = bpe.Codec(bpe.tokenizer_json(ranks := bpe.read_ranks(RANKS)), public_tokenizers.PATTERN)
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "PIECES_KEPT", 300)
+    monkeypatch.setattr(bpe, "PART_CHARS", 8_000)
+    draw = random.Random(6)
+    sizes = [20, 20, 0, 500, 20, 5_000, 20, 20, 0]
+    texts = [None, *(" ".join(f"w{draw.randrange(10**6)}" for _ in range(n)) for n in sizes), None]
+    found = list(codec.encode_many(texts))
+    assert found == [other.encode_ordinary(text or "") for text in texts]
+    assert list(codec.encode_many([])) == []
+
+
 def test_sets_of_many_texts_take_little_memory():
     draw = random.Random(8)
     texts = pa.array([" ".join(f"w{draw.randrange(9999)}" for _ in range(300)) for _ in range(1500)])
